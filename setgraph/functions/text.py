@@ -44,7 +44,7 @@ def tokenize(text: Column | str) -> Column:
     ``array<string>``; NULL text gives NULL.
     """
     parts = F.split(F.lower(_col(text)), TERM_SPLIT_REGEX)
-    return F.filter(parts, lambda t: t != F.lit(""))
+    return F.array_remove(parts, "")
 
 
 def split_lines(text: Column | str) -> Column:

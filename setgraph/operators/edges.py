@@ -43,4 +43,4 @@ def reverse_adjacency(edges: DataFrame, row_limit: int = ADJACENCY_ROW) -> DataF
     e = e.join(deg, "dst").withColumn("part", F.pmod(F.col("src"), parts))
     return e.groupBy(F.col("dst").alias("node"), "part").agg(
         F.first("in_degree").alias("in_degree"),
-        F.array_sort(F.collect_list(F.struct("src", "dist"))).alias("in_edges"))
+        F.sort_array(F.collect_list(F.struct("src", "dist"))).alias("in_edges"))

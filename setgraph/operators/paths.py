@@ -23,7 +23,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import reliable_checkpoint as _checkpoint
 
 # In-edges per salt bucket of a node.  A hub with d in-edges is split into
 # ceil(d / SALT_EDGES) buckets, each joined by its own task; its frontier row
@@ -31,11 +31,6 @@ from ..session import checkpoint_dir
 SALT_EDGES = 1 << 18
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataFrame, DataFrame]:
     """Validated, min-reduced, salted edges and the per-node salt counts.
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import explode_rows
 from ..functions.text import split_lines, tokenize
 
 # First-term positions handled per task-level chunk of a long context.  A
@@ -29,21 +30,21 @@ def terms(df: DataFrame, col: str = "text", keys: list[str] | tuple[str, ...] =
     ``line_no`` and ``pos`` are 0-based (line within the text, term within the line).
     """
     keys = list(keys)
-    lines = df.select(*keys, F.posexplode(split_lines(col)).alias("line_no", "line"))
-    out = lines.select(*keys, "line_no", F.posexplode(tokenize("line")).alias("pos", "term"))
+    lines = explode_rows(df, split_lines(col), "line", *keys, pos="line_no")
+    out = explode_rows(lines, tokenize("line"), "term", *keys, "line_no", pos="pos")
     return out.select(*keys, F.col("line_no").cast("int"), F.col("pos").cast("int"), "term")
 
 
 def word_count(df: DataFrame, col: str = "text") -> DataFrame:
     """``term STRING, n LONG``: occurrences of every term."""
-    t = df.select(F.explode(tokenize(col)).alias("term"))
+    t = explode_rows(df, tokenize(col), "term")
     return t.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def contexts(df: DataFrame, col: str = "text", context: str = "line") -> DataFrame:
     """``terms ARRAY<STRING>`` per co-occurrence context (a line, or a whole row)."""
     if context == "line":
-        lines = df.select(F.explode(split_lines(col)).alias("line"))
+        lines = explode_rows(df, split_lines(col), "line")
         return lines.select(tokenize("line").alias("terms"))
     if context == "row":
         return df.select(tokenize(col).alias("terms"))
@@ -82,7 +83,7 @@ def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
 def stripes_from_pairs(pairs: DataFrame) -> DataFrame:
     """``term1 STRING, stripe MAP<STRING,LONG>`` with second terms in byte order."""
     return pairs.groupBy("term1").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("term2", "n")))).alias("stripe"))
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("term2", "n")))).alias("stripe"))
 
 
 def cooccurrence_stripes(df: DataFrame, col: str = "text", context: str = "line",

@@ -98,7 +98,10 @@ def set_similarity_join(spark, sf):
 
 
 def set_similarity_join_given_order(spark, sf):
-    return setsim.set_similarity_join(_docs_sets(spark, sf), T_DOCS, order="given", positional=True)
+    # rank-encoded records: token ids follow the global order, so the join
+    # uses them as given, without its own frequency stage
+    enc = setsim.rank_encode(setsim.set_records(_docs_sets(spark, sf)))
+    return setsim.set_similarity_join(enc, T_DOCS, order="given", positional=True)
 
 
 def set_similarity_join_positional(spark, sf):

@@ -4,22 +4,37 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+# Settings the operators are designed for (also recommended on a cluster):
+# AQE re-plans every shuffle stage with measured sizes, splits skewed join
+# partitions, and converts a join to broadcast only when the *measured* size of
+# one side is below the adaptive threshold.  Static broadcast from planner
+# estimates is off: estimates of exploded or checkpointed data can be far too
+# small, and a mis-estimated broadcast of a large side would not fit.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+}
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g", app: str = "setgraph") -> SparkSession:
     """A local[N] session for tests and the benchmark (no UI, AQE on)."""
+    builder = SparkSession.builder.master(f"local[{cpus}]")
+    for k, v in RECOMMENDED_CONF.items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
@@ -51,3 +66,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
             "checkpoint folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="setgraph-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds several branches of a plan (Spark would
+    otherwise recompute it per branch) and between rounds of iterations.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
