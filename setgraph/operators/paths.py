@@ -19,10 +19,12 @@ checkpoint folder after every round.
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import partitioned_checkpoint
 from ..session import reliable_checkpoint as _checkpoint
 
 # In-edges per salt bucket of a node.  A hub with d in-edges is split into
@@ -34,7 +36,7 @@ SALT_EDGES = 1 << 18
 def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataFrame, DataFrame]:
     """Validated, min-reduced, salted edges and the per-node salt counts.
 
-    Returns ``(edges(dst, salt, src, w, src_salts), salts(node, salts))``;
+    Returns ``(edges(dst, salt, src, w), salts(node, salts))``;
     ``edges`` is hash-partitioned by ``(dst, salt)`` and checkpointed.
     """
     spark = edges.sparkSession
@@ -50,45 +52,62 @@ def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataF
         F.ceil(F.count(F.lit(1)) / F.lit(salt_edges)).cast("int").alias("salts"))
     e = e.join(salts.withColumnRenamed("node", "dst"), "dst")
     e = e.withColumn("salt", F.pmod(F.xxhash64("src"), F.col("salts")).cast("int"))
-    src_salts = salts.select(F.col("node").alias("src"), F.col("salts").alias("src_salts"))
-    e = e.join(src_salts, "src", "left").select(
-        "dst", "salt", "src", "w", F.coalesce("src_salts", F.lit(1)).alias("src_salts"))
+    e = e.select("dst", "salt", "src", "w")
+    # skewed joins above run adaptively; the result is then laid out once by
+    # (dst, salt) so that every round joins it without shuffling it
+    e = _checkpoint(e)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _checkpoint(e.repartition(n, "dst", "salt")), salts
+    return partitioned_checkpoint(e.repartition(n, "dst", "salt")), salts
 
 
 def shortest_distances(edges: DataFrame, target: int, max_rounds: int | None = None,
                        salt_edges: int = SALT_EDGES) -> DataFrame:
     """``node LONG, c STRUCT<d DOUBLE, h INT, nx LONG>`` for every node that reaches
     ``target``; ``d`` is the distance, ``h`` the hop count, ``nx`` the next node."""
+    spark = edges.sparkSession
     e, salts = prepare_edges(edges, salt_edges)
-    state = salts.where(F.col("node") == F.lit(target)).select(
-        "node",
-        F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("h"),
-                 F.lit(None).cast("long").alias("nx")).alias("c"),
-        "salts", F.lit(True).alias("upd"))
-    state = _checkpoint(state)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the state holds every node from the start (unreached: c = NULL), so each
+    # round updates it with a left join that keeps its hash partitioning by node
+    nodes = e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
+    is_target = F.col("node") == F.lit(target)
+    # the target starts at 0 only if some edge ends there
+    start = is_target & F.col("salts").isNotNull()
+    zero = F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("h"), F.lit(None).cast("long").alias("nx"))
+    state = nodes.join(salts, "node", "left").select(
+        "node", F.when(start, zero).alias("c"),
+        F.coalesce("salts", F.lit(1)).alias("salts"), start.alias("upd"))
+    state = partitioned_checkpoint(state.repartition(n, "node"))
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
         frontier = state.where("upd").select(
             F.col("node").alias("v"), F.col("c").alias("vc"),
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("vsalt"))
-        cand = frontier.join(e, (frontier.v == e.dst) & (frontier.vsalt == e.salt)).select(
+        # hash joins built from the small sides (frontier, best candidates, at
+        # most one row per node and salt) stream the edges and the state
+        # without sorting them each round
+        cand = e.join(frontier.hint("shuffle_hash"),
+                      (frontier.v == e.dst) & (frontier.vsalt == e.salt)).select(
             F.col("src").alias("node"),
             # distance accumulates target-outward: dist(next) + w
             F.struct((F.col("vc.d") + F.col("w")).alias("d"), (F.col("vc.h") + 1).alias("h"),
-                     F.col("v").alias("nx")).alias("nc"),
-            F.col("src_salts").alias("ns"))
-        best = cand.groupBy("node").agg(F.min("nc").alias("nc"), F.max("ns").alias("ns"))
-        m = state.drop("upd").join(best, "node", "full_outer")
+                     F.col("v").alias("nx")).alias("nc"))
+        best = cand.groupBy("node").agg(F.min("nc").alias("nc"))
+        m = state.drop("upd").join(best.hint("shuffle_hash"), "node", "left")
         upd = F.col("nc").isNotNull() & (F.col("c").isNull() | (F.col("nc") < F.col("c")))
-        state = _checkpoint(m.select(
-            "node", F.when(upd, F.col("nc")).otherwise(F.col("c")).alias("c"),
-            F.coalesce("salts", "ns").alias("salts"), upd.alias("upd")))
+        # state stays hash-partitioned by node and edges by (dst, salt): a round
+        # shuffles only the frontier and the (partially aggregated) candidates.
+        # Edges are salted, so the static plan of this job has no skew to handle.
+        new = m.select("node", F.when(upd, F.col("nc")).otherwise(F.col("c")).alias("c"), "salts",
+                       upd.alias("upd"))
+        # the number of improved nodes is collected by the same job
+        obs = Observation(f"sp-round-{uuid.uuid4().hex}")
+        state = partitioned_checkpoint(
+            new.observe(obs, F.coalesce(F.sum(F.col("upd").cast("long")), F.lit(0)).alias("changed")))
         rounds += 1
-        if state.where("upd").isEmpty():
+        if obs.get["changed"] == 0:
             break
-    return state.select("node", "c")
+    return state.where(F.col("c").isNotNull()).select("node", "c")
 
 
 def assemble_paths(dist: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,3 +77,28 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def _static_plan(spark: SparkSession):
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def partitioned_checkpoint(df: DataFrame) -> DataFrame:
+    """Like :func:`reliable_checkpoint`, but the result remembers its hash
+    partitioning, so later joins and aggregations on the same keys do not
+    shuffle it again.
+
+    The materialising job runs with a static (non-adaptive) plan: an adaptive
+    plan hides its output partitioning from the checkpointed relation.  Use it
+    for plans whose skew is already handled (salted keys, one row per key).
+    """
+    checkpoint_dir(df.sparkSession)
+    with _static_plan(df.sparkSession):
+        return df.checkpoint(eager=True)
