@@ -15,6 +15,7 @@ from ..functions.paths import path_string
 from ..operators import edges as edge_ops
 from ..operators import paths as path_ops
 from ..operators import setsim, text
+from ..session import configure
 from ..sources import sinks
 from ..sources.tables import order_edges, table, text_sets
 
@@ -117,6 +118,14 @@ def pair_lines(spark, sf):
         sinks.pair_line().alias("line"))
 
 
+def _configured(q: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return q(configure(spark), sf)
+    run.__name__ = q.__name__
+    run.__doc__ = q.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "terms_benchmark": terms_benchmark,
     "word_count": word_count,
@@ -136,3 +145,4 @@ QUERIES: dict[str, Query] = {
     "set_similarity_low": set_similarity_low,
     "pair_lines": pair_lines,
 }
+QUERIES = {name: _configured(q) for name, q in QUERIES.items()}

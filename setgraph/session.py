@@ -41,6 +41,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`RECOMMENDED_CONF` (runtime SQL settings) to ``spark`` and make
+    sure a checkpoint folder is known.  Called by the registered queries; a
+    library user may call it once per session."""
+    for k, v in RECOMMENDED_CONF.items():
+        spark.conf.set(k, v)
+    checkpoint_dir(spark)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting it only when unset.
 
