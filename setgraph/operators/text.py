@@ -51,35 +51,50 @@ def contexts(df: DataFrame, col: str = "text", context: str = "line") -> DataFra
     raise ValueError(f"context must be 'line' or 'row', got {context!r}")
 
 
-def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
-                 chunk: int = CHUNK) -> DataFrame:
-    """Ordered co-occurrence counts ``term1 STRING, term2 STRING, n LONG``.
+def _weighted_contexts(df: DataFrame, col: str, context: str) -> DataFrame:
+    """``terms, w``: distinct contexts with at least two terms and their count.
+    Identical contexts (repeated lines, copied documents) are expanded once;
+    partial aggregation merges hot copies map-side."""
+    ctx = contexts(df, col, context).where(F.size("terms") >= 2)
+    return ctx.groupBy("terms").agg(F.count(F.lit(1)).alias("w"))
 
-    For every context with terms t_0..t_{k-1}, every position pair i < j adds
-    one to (t_i, t_j); repeats are kept, so (a, a) can occur.
+
+def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataFrame:
+    """``term1, term2, n`` from ``(terms ARRAY, w)`` contexts: every position
+    pair i < j adds ``w`` to (terms[i], terms[j]).
+
+    A context of k terms expands into k(k-1)/2 pairs.  Each context is split
+    into chunks of ``chunk`` first-term positions, and the chunks are spread
+    over partitions, so one very long context does not sit in one task.
     """
-    ctx = contexts(df, col, context).where(F.size("terms") >= 2)
-    # Identical contexts (repeated lines, copied documents) are expanded once,
-    # with their multiplicity as a weight; partial aggregation merges hot
-    # copies map-side.
-    weighted = ctx.groupBy("terms").agg(F.count(F.lit(1)).alias("w"))
-    n = F.size("terms")
+    n = F.size(col)
     chunks = weighted.select(
-        "terms", "w",
+        col, "w",
         F.explode(F.sequence(F.lit(0), F.floor((n - 2) / F.lit(chunk)).cast("int"))).alias("chunk"))
-    # Spread the chunks of one long context over partitions.
-    chunks = chunks.repartition(F.xxhash64("terms"), "chunk")
+    # An explicit partition count: the input of this exchange is small (one row
+    # per chunk) while the work after it is quadratic, so size-based coalescing
+    # would put the whole expansion into very few tasks.
+    parts = int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(parts, F.xxhash64(col), "chunk")
     start = F.col("chunk") * F.lit(chunk)
     firsts = chunks.select(
-        "terms", "w", start.alias("start"),
-        F.posexplode(F.slice("terms", start + 1, F.lit(chunk))).alias("k", "term1"))
+        col, "w", start.alias("start"),
+        F.posexplode(F.slice(col, start + 1, F.lit(chunk))).alias("k", "term1"))
     i = F.col("start") + F.col("k")
-    pairs = firsts.select(
-        "w", "term1",
-        F.explode(F.slice("terms", i + 2, F.size("terms") - i - 1)).alias("term2"))
+    pairs = firsts.select("w", "term1", F.explode(F.slice(col, i + 2, F.size(col) - i - 1)).alias("term2"))
     return pairs.groupBy("term1", "term2").agg(F.sum("w").alias("n"))
 
 
+def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
+                 chunk: int = CHUNK) -> DataFrame:
+    """Ordered co-occurrence counts ``term1 STRING, term2 STRING, n LONG``.
+
+    For every context with terms t_0..t_{k-1}, every position pair i < j adds
+    one to (t_i, t_j); repeats are kept, so (a, a) can occur.
+    """
+    return _pairs(_weighted_contexts(df, col, context), chunk)
+
+
 def stripes_from_pairs(pairs: DataFrame) -> DataFrame:
     """``term1 STRING, stripe MAP<STRING,LONG>`` with second terms in byte order."""
     return pairs.groupBy("term1").agg(
