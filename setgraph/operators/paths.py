@@ -60,8 +60,32 @@ def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataF
     return partitioned_checkpoint(e.repartition(n, "dst", "salt")), salts
 
 
+def _relax(state: DataFrame, e: DataFrame) -> DataFrame:
+    """One Bellman-Ford round: relax the in-edges of the nodes improved last round."""
+    frontier = state.where("upd").select(
+        F.col("node").alias("v"), F.col("c").alias("vc"),
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("vsalt"))
+    # hash joins built from the small sides (frontier, best candidates: at most
+    # one row per node and salt) stream the edges and the state without
+    # sorting them
+    cand = e.join(frontier.hint("shuffle_hash"),
+                  (frontier.v == e.dst) & (frontier.vsalt == e.salt)).select(
+        F.col("src").alias("node"),
+        # distance accumulates target-outward: dist(next) + w
+        F.struct((F.col("vc.d") + F.col("w")).alias("d"), (F.col("vc.h") + 1).alias("h"),
+                 F.col("v").alias("nx")).alias("nc"))
+    best = cand.groupBy("node").agg(F.min("nc").alias("nc"))
+    m = state.drop("upd").join(best.hint("shuffle_hash"), "node", "left")
+    upd = F.col("nc").isNotNull() & (F.col("c").isNull() | (F.col("nc") < F.col("c")))
+    # the left join keeps the state hash-partitioned by node; edges stay
+    # partitioned by (dst, salt): a round shuffles only the frontier and the
+    # partially aggregated candidates
+    return m.select("node", F.when(upd, F.col("nc")).otherwise(F.col("c")).alias("c"), "salts",
+                    upd.alias("upd"))
+
+
 def shortest_distances(edges: DataFrame, target: int, max_rounds: int | None = None,
-                       salt_edges: int = SALT_EDGES) -> DataFrame:
+                       salt_edges: int = SALT_EDGES, rounds_per_job: int = 2) -> DataFrame:
     """``node LONG, c STRUCT<d DOUBLE, h INT, nx LONG>`` for every node that reaches
     ``target``; ``d`` is the distance, ``h`` the hop count, ``nx`` the next node."""
     spark = edges.sparkSession
@@ -80,31 +104,16 @@ def shortest_distances(edges: DataFrame, target: int, max_rounds: int | None = N
     state = partitioned_checkpoint(state.repartition(n, "node"))
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
-        frontier = state.where("upd").select(
-            F.col("node").alias("v"), F.col("c").alias("vc"),
-            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("vsalt"))
-        # hash joins built from the small sides (frontier, best candidates, at
-        # most one row per node and salt) stream the edges and the state
-        # without sorting them each round
-        cand = e.join(frontier.hint("shuffle_hash"),
-                      (frontier.v == e.dst) & (frontier.vsalt == e.salt)).select(
-            F.col("src").alias("node"),
-            # distance accumulates target-outward: dist(next) + w
-            F.struct((F.col("vc.d") + F.col("w")).alias("d"), (F.col("vc.h") + 1).alias("h"),
-                     F.col("v").alias("nx")).alias("nc"))
-        best = cand.groupBy("node").agg(F.min("nc").alias("nc"))
-        m = state.drop("upd").join(best.hint("shuffle_hash"), "node", "left")
-        upd = F.col("nc").isNotNull() & (F.col("c").isNull() | (F.col("nc") < F.col("c")))
-        # state stays hash-partitioned by node and edges by (dst, salt): a round
-        # shuffles only the frontier and the (partially aggregated) candidates.
-        # Edges are salted, so the static plan of this job has no skew to handle.
-        new = m.select("node", F.when(upd, F.col("nc")).otherwise(F.col("c")).alias("c"), "salts",
-                       upd.alias("upd"))
-        # the number of improved nodes is collected by the same job
+        # several rounds are chained into one materialised job; convergence is
+        # read from the last of them (a round without improvements is final)
+        steps = rounds_per_job if max_rounds is None else min(rounds_per_job, max_rounds - rounds)
+        new = state
+        for _ in range(steps):
+            new = _relax(new, e)
         obs = Observation(f"sp-round-{uuid.uuid4().hex}")
         state = partitioned_checkpoint(
             new.observe(obs, F.coalesce(F.sum(F.col("upd").cast("long")), F.lit(0)).alias("changed")))
-        rounds += 1
+        rounds += steps
         if obs.get["changed"] == 0:
             break
     return state.where(F.col("c").isNotNull()).select("node", "c")
@@ -126,7 +135,8 @@ def assemble_paths(dist: DataFrame) -> DataFrame:
 
 
 def shortest_paths_to(edges: DataFrame, target: int, with_path: bool = True,
-                      max_rounds: int | None = None, salt_edges: int = SALT_EDGES) -> DataFrame:
+                      max_rounds: int | None = None, salt_edges: int = SALT_EDGES,
+                      rounds_per_job: int = 2) -> DataFrame:
     """Shortest path from every node to ``target``.
 
     ``edges(src, dst, dist)`` with ``dist >= 0`` (a negative, NaN or NULL weight
@@ -135,7 +145,7 @@ def shortest_paths_to(edges: DataFrame, target: int, with_path: bool = True,
     only if it is the end of some edge.  Among equally short paths the one
     with fewer hops, then the smaller next node, is taken.
     """
-    d = shortest_distances(edges, target, max_rounds, salt_edges)
+    d = shortest_distances(edges, target, max_rounds, salt_edges, rounds_per_job)
     out = d.select("node", F.col("c.d").alias("dist"), F.col("c.h").alias("hops"))
     if not with_path:
         return out
