@@ -23,10 +23,15 @@ EDGE_SCHEMA = T.StructType([
 
 
 def _cast(c, to: str, on_bad_row: str):
+    """``try_cast``; with ``on_bad_row='fail'`` a value that does not parse raises
+    (independent of the session's ANSI setting), with ``'drop'`` it is NULL."""
+    c = F.col(c) if isinstance(c, str) else c
+    v = c.try_cast(to)
     if on_bad_row == "fail":
-        return F.col(c).cast(to) if isinstance(c, str) else c.cast(to)
+        return F.when(v.isNull() & c.isNotNull(),
+                      F.raise_error(F.concat(F.lit(f"malformed {to} field: "), c))).otherwise(v)
     if on_bad_row == "drop":
-        return (F.col(c) if isinstance(c, str) else c).try_cast(to)
+        return v
     raise ValueError("on_bad_row must be 'fail' or 'drop'")
 
 

@@ -26,10 +26,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     parallelism) when the scan yields fewer splits, e.g. a file with a single
     row group.  A scan that is already wide enough is returned unchanged, so
     large inputs pay no extra shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:

@@ -60,3 +60,13 @@ def test_kv_sink_sorted(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="setgraph-io-"), "wc")
     write_kv(word_count(df), out, "term", "n")
     assert _read_dir(out) == ["a\t2", "b\t1", "c\t1"]
+
+
+def test_bad_rows_fail_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        lines = spark.createDataFrame([("0 1 x 3.5",)], "value string")
+        with pytest.raises(Exception, match="malformed"):
+            parse_edges(lines).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
