@@ -15,7 +15,7 @@ from ..functions.paths import path_string
 from ..operators import edges as edge_ops
 from ..operators import paths as path_ops
 from ..operators import setsim, text
-from ..session import configure
+from ..session import configure, reliable_checkpoint
 from ..sources import sinks
 from ..sources.tables import order_edges, table, text_sets
 
@@ -86,12 +86,18 @@ def token_ranks(spark, sf):
     return setsim.token_ranks(setsim.set_records(_docs_sets(spark, sf)))
 
 
+def _docs_records(spark: SparkSession, sf: str) -> DataFrame:
+    # the token sets feed several branches (frequencies, prefixes, both join
+    # sides): tokenize the corpus once
+    return reliable_checkpoint(setsim.set_records(_docs_sets(spark, sf)))
+
+
 def prefix_tokens(spark, sf):
-    return setsim.prefix_tokens(setsim.set_records(_docs_sets(spark, sf)), T_DOCS)
+    return setsim.prefix_tokens(_docs_records(spark, sf), T_DOCS)
 
 
 def similarity_candidates(spark, sf):
-    return setsim.similarity_candidates(setsim.set_records(_docs_sets(spark, sf)), T_DOCS)
+    return setsim.similarity_candidates(_docs_records(spark, sf), T_DOCS)
 
 
 def set_similarity_join(spark, sf):
@@ -101,7 +107,7 @@ def set_similarity_join(spark, sf):
 def set_similarity_join_given_order(spark, sf):
     # rank-encoded records: token ids follow the global order, so the join
     # uses them as given, without its own frequency stage
-    enc = setsim.rank_encode(setsim.set_records(_docs_sets(spark, sf)))
+    enc = setsim.rank_encode(_docs_records(spark, sf))
     return setsim.set_similarity_join(enc, T_DOCS, order="given", positional=True)
 
 
