@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 # Most in-edges one reverse-adjacency row holds; a hub's list is split into
 # ceil(in_degree / ADJACENCY_ROW) rows so that no single row or task has to
 # hold an unbounded list.
@@ -33,11 +35,13 @@ def reverse_adjacency(edges: DataFrame, row_limit: int = ADJACENCY_ROW) -> DataF
     """In-neighbour lists: ``node LONG, part LONG, in_degree LONG,
     in_edges ARRAY<STRUCT<src LONG, dist DOUBLE>>``.
 
-    Parallel edges are reduced to the shortest first.  A node with more than
+    Parallel edges are reduced to the shortest first; the reduced table feeds
+    both the degree count and the lists, so it is materialised once (reliable
+    checkpoint) instead of being derived twice.  A node with more than
     ``row_limit`` distinct in-neighbours gets several rows (``part`` =
     ``src mod ceil(in_degree/row_limit)``); each list is sorted by ``src``.
     """
-    e = min_edges(edges)
+    e = reliable_checkpoint(min_edges(edges))
     deg = e.groupBy("dst").agg(F.count(F.lit(1)).alias("in_degree"))
     parts = F.ceil(F.col("in_degree") / F.lit(row_limit))
     e = e.join(deg, "dst").withColumn("part", F.pmod(F.col("src"), parts))
