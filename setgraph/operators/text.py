@@ -8,17 +8,26 @@ chunks so that the quadratic pair expansion of one line spreads over tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
 from ..functions.text import split_lines, tokenize
+from ..session import reliable_checkpoint
+from .ranking import dense_index
 
 # First-term positions handled per task-level chunk of a long context.  A
 # context of n terms yields n*(n-1)/2 pairs; chunking caps the pairs one row
 # expands into at about CHUNK * n.
 CHUNK = 256
 
+# Pairs per term occurrence above which the pairs are counted on integer term
+# ids (dictionary-encoded) instead of strings.  Encoding costs a few passes over
+# the terms; it pays off once the quadratic pair volume dominates (long lines).
+ENCODE_PAIRS_PER_TERM = 48
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -60,8 +69,8 @@ def _weighted_contexts(df: DataFrame, col: str, context: str) -> DataFrame:
 
 
 def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataFrame:
-    """``term1, term2, n`` from ``(terms ARRAY, w)`` contexts: every position
-    pair i < j adds ``w`` to (terms[i], terms[j]).
+    """``term1, term2, n`` from ``(terms ARRAY, w)`` contexts (terms as strings
+    or as ids): every position pair i < j adds ``w`` to (terms[i], terms[j]).
 
     A context of k terms expands into k(k-1)/2 pairs.  Each context is split
     into chunks of ``chunk`` first-term positions, and the chunks are spread
@@ -85,14 +94,47 @@ def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataF
     return pairs.groupBy("term1", "term2").agg(F.sum("w").alias("n"))
 
 
+def _encode(weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dictionary-encode contexts: ``(terms ARRAY<LONG>, w)`` per context and
+    the vocabulary ``(term, id)``, ids dense in byte order of the terms."""
+    vocab = dense_index(explode_rows(weighted, "terms", "term").distinct(), "term", name="id")
+    lines = weighted.withColumn("lid", F.monotonically_increasing_id())
+    occ = explode_rows(lines, "terms", "term", "lid", "w", pos="pos").join(vocab, "term")
+    enc = occ.groupBy("lid").agg(
+        F.first("w").alias("w"), F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("e"))
+    return enc.select(F.transform("e", lambda x: x["id"]).alias("terms"), "w"), vocab
+
+
 def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
-                 chunk: int = CHUNK) -> DataFrame:
+                 chunk: int = CHUNK, encode: bool | None = None) -> DataFrame:
     """Ordered co-occurrence counts ``term1 STRING, term2 STRING, n LONG``.
 
     For every context with terms t_0..t_{k-1}, every position pair i < j adds
     one to (t_i, t_j); repeats are kept, so (a, a) can occur.
+
+    The distinct weighted contexts are materialised once; the same job
+    observes how many pairs they expand into.  With ``encode=None`` the pairs
+    are counted on integer term ids when there are at least
+    ``ENCODE_PAIRS_PER_TERM`` pairs per term occurrence (strings are joined
+    back once per distinct pair), else on the strings directly.  Both give the
+    same rows.
     """
-    return _pairs(_weighted_contexts(df, col, context), chunk)
+    obs = Observation(f"cooc-{uuid.uuid4().hex}")
+    k = F.size("terms").cast("double")
+    weighted = reliable_checkpoint(_weighted_contexts(df, col, context).observe(
+        obs, F.coalesce(F.sum(k), F.lit(0.0)).alias("terms"),
+        F.coalesce(F.sum(k * (k - 1) / 2), F.lit(0.0)).alias("pairs")))
+    if encode is None:
+        m = obs.get
+        encode = m["pairs"] >= ENCODE_PAIRS_PER_TERM * max(m["terms"], 1.0)
+    if not encode:
+        return _pairs(weighted, chunk)
+    enc, vocab = _encode(weighted)
+    ids = _pairs(reliable_checkpoint(enc), chunk).select(
+        F.col("term1").alias("id1"), F.col("term2").alias("id2"), "n")
+    v1 = vocab.select(F.col("id").alias("id1"), F.col("term").alias("term1"))
+    v2 = vocab.select(F.col("id").alias("id2"), F.col("term").alias("term2"))
+    return ids.join(v1, "id1").join(v2, "id2").select("term1", "term2", "n")
 
 
 def stripes_from_pairs(pairs: DataFrame) -> DataFrame:
@@ -102,13 +144,13 @@ def stripes_from_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def cooccurrence_stripes(df: DataFrame, col: str = "text", context: str = "line",
-                         chunk: int = CHUNK) -> DataFrame:
+                         chunk: int = CHUNK, encode: bool | None = None) -> DataFrame:
     """Stripe form of :func:`cooccurrence`: one map of later terms per first term.
 
     A stripe holds one entry per distinct second term, so its size is bounded
     by the vocabulary, not by the number of occurrences.
     """
-    return stripes_from_pairs(cooccurrence(df, col, context, chunk))
+    return stripes_from_pairs(cooccurrence(df, col, context, chunk, encode))
 
 
 def flatten_stripes(stripes: DataFrame) -> DataFrame:

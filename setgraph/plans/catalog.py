@@ -51,6 +51,15 @@ def cooccurrence_pairs(spark, sf):
     return text.cooccurrence(table(spark, sf, "conversations"), "text", context="line")
 
 
+def cooccurrence_documents(spark, sf):
+    # long lines (thousands of terms): exercises the chunked pair expansion
+    return text.cooccurrence(table(spark, sf, "documents"), "text", context="line")
+
+
+def cooccurrence_rows(spark, sf):
+    return text.cooccurrence(table(spark, sf, "benchmark"), "text", context="row")
+
+
 def cooccurrence_stripes(spark, sf):
     s = text.cooccurrence_stripes(table(spark, sf, "conversations"), "text", context="line")
     total = F.aggregate(F.map_values("stripe"), F.lit(0).cast("long"), lambda acc, x: acc + x)
@@ -137,6 +146,8 @@ QUERIES: dict[str, Query] = {
     "word_count": word_count,
     "cooccurrence_pairs": cooccurrence_pairs,
     "cooccurrence_stripes": cooccurrence_stripes,
+    "cooccurrence_documents": cooccurrence_documents,
+    "cooccurrence_rows": cooccurrence_rows,
     "incoming_edge_avg": incoming_edge_avg,
     "incoming_edge_avg_signed_truncated": incoming_edge_avg_signed_truncated,
     "reverse_adjacency": reverse_adjacency,

@@ -109,6 +109,15 @@ ORACLE_SQL: dict[str, str] = {
     "cooccurrence_pairs": _pairs_per_line("conversations") + """
     SELECT term1, term2, n FROM pairs""",
 
+    "cooccurrence_documents": _pairs_per_line("documents") + """
+    SELECT term1, term2, n FROM pairs""",
+
+    "cooccurrence_rows": f"""
+    WITH t AS (SELECT row_number() OVER () AS id, {_terms('text')} AS ts FROM benchmark),
+    p AS (SELECT id, unnest(ts) AS w, generate_subscripts(ts, 1) AS pos FROM t)
+    SELECT a.w AS term1, b.w AS term2, CAST(count(*) AS BIGINT) AS n
+    FROM p a JOIN p b ON a.id = b.id AND a.pos < b.pos GROUP BY 1, 2""",
+
     "cooccurrence_stripes": _pairs_per_line("conversations") + """
     SELECT term1, CAST(count(*) AS INTEGER) AS n_terms, CAST(sum(n) AS BIGINT) AS n_total
     FROM pairs GROUP BY term1""",

@@ -66,14 +66,16 @@ def test_cooccurrence_chunks_and_repeats(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     expected = _py_pairs(texts)
     for chunk in (1, 3, 256):
-        assert rows(cooccurrence(df, chunk=chunk)) == expected
+        for encode in (False, True):
+            assert rows(cooccurrence(df, chunk=chunk, encode=encode)) == expected
     assert rows(cooccurrence(df, context="row")) == _py_pairs(texts, "row")
 
 
 def test_stripes_flatten_equal_pairs(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
-    pairs = cooccurrence(df)
-    assert rows(flatten_stripes(cooccurrence_stripes(df))) == rows(pairs)
+    pairs = rows(cooccurrence(df, encode=False))
+    assert rows(cooccurrence(df, encode=True)) == pairs
+    assert rows(flatten_stripes(cooccurrence_stripes(df, encode=True))) == pairs
 
 
 def test_terms_positions(spark):
