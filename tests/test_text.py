@@ -99,3 +99,14 @@ def test_word_count_ignores_null(spark):
     df = spark.createDataFrame([(None,), ("a a",)], "text string")
     assert rows(word_count(df)) == [("a", 2)]
     assert rows(cooccurrence(df.where(F.lit(True)))) == [("a", "a", 1)]
+
+
+def test_tokenizer_matches_python_on_random_text(spark):
+    import random
+    rnd = random.Random(7)
+    alphabet = list(" *$&#/\t\n\f\"'\\,.:;?![](){}<>~-_\r") + list("aZ9@%+=|^`é") + ["ß", "Ab"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 30))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = dict(rows(df.select("id", tokenize("text").alias("t"))))
+    for i, t in enumerate(texts):
+        assert got[i] == py_tokenize(t), repr(t)
