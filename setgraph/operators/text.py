@@ -8,6 +8,7 @@ chunks so that the quadratic pair expansion of one line spreads over tasks.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -28,6 +29,11 @@ CHUNK = 256
 # the terms; it pays off once the quadratic pair volume dominates (long lines).
 ENCODE_PAIRS_PER_TERM = 48
 
+# Pair occurrences one task of the pair expansion should produce.  The
+# expansion's partition count follows the observed pair volume, not the size
+# of its (small) input, so each task's partial-aggregation map stays small.
+PAIRS_PER_TASK = 8_000_000
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -68,7 +74,8 @@ def _weighted_contexts(df: DataFrame, col: str, context: str) -> DataFrame:
     return ctx.groupBy("terms").agg(F.count(F.lit(1)).alias("w"))
 
 
-def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataFrame:
+def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms",
+           parts: int | None = None) -> DataFrame:
     """``term1, term2, n`` from ``(terms ARRAY, w)`` contexts (terms as strings
     or as ids): every position pair i < j adds ``w`` to (terms[i], terms[j]).
 
@@ -83,8 +90,8 @@ def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataF
     # An explicit partition count: the input of this exchange is small (one row
     # per chunk) while the work after it is quadratic, so size-based coalescing
     # would put the whole expansion into very few tasks.
-    parts = int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunks.repartition(parts, F.xxhash64(col), "chunk")
+    base = int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(max(base, parts or 0), F.xxhash64(col), "chunk")
     start = F.col("chunk") * F.lit(chunk)
     firsts = chunks.select(
         col, "w", start.alias("start"),
@@ -124,13 +131,14 @@ def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
     weighted = reliable_checkpoint(_weighted_contexts(df, col, context).observe(
         obs, F.coalesce(F.sum(k), F.lit(0.0)).alias("terms"),
         F.coalesce(F.sum(k * (k - 1) / 2), F.lit(0.0)).alias("pairs")))
+    m = obs.get
+    parts = int(math.ceil(m["pairs"] / PAIRS_PER_TASK))
     if encode is None:
-        m = obs.get
         encode = m["pairs"] >= ENCODE_PAIRS_PER_TERM * max(m["terms"], 1.0)
     if not encode:
-        return _pairs(weighted, chunk)
+        return _pairs(weighted, chunk, parts=parts)
     enc, vocab = _encode(weighted)
-    ids = _pairs(reliable_checkpoint(enc), chunk).select(
+    ids = _pairs(reliable_checkpoint(enc), chunk, parts=parts).select(
         F.col("term1").alias("id1"), F.col("term2").alias("id2"), "n")
     v1 = vocab.select(F.col("id").alias("id1"), F.col("term").alias("term1"))
     v2 = vocab.select(F.col("id").alias("id2"), F.col("term").alias("term2"))
