@@ -35,6 +35,46 @@ _NEAR = f"""
            doc_id = least(doc_id, coalesce(least.b, doc_id)) AS kept
     FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = doc_id"""
 
+_LEAKS = f"""
+    WITH d AS MATERIALIZED {_shingles('documents', 'doc_id')},
+    i AS MATERIALIZED {_shingles('benchmark', 'item_id')},
+    n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY 1),
+    k AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (sh) GROUP BY 1, 2)
+    SELECT doc_id, item_id, CAST(n_shared AS BIGINT) AS n_shared, CAST(n_item AS BIGINT) AS n_item,
+           CAST(n_shared AS DOUBLE) / CAST(n_item AS DOUBLE) AS containment
+    FROM k JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item"""
+
+# Lines of 24 characters or more.  One edit leaves the first or the last ten
+# characters as they are; candidates are compared character by character.
+_LINE_DEDUP = """
+    WITH l AS MATERIALIZED (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
+    f AS MATERIALIZED (
+        SELECT line, length(line) AS n, min(row(doc_id, no)) AS place FROM l WHERE length(line) >= 24 GROUP BY 1),
+    c AS (SELECT a.line AS a, b.line AS b FROM f a JOIN f b ON left(a.line, 10) = left(b.line, 10)
+            AND abs(a.n - b.n) <= 1 AND b.place < a.place
+          UNION SELECT a.line, b.line FROM f a JOIN f b ON right(a.line, 10) = right(b.line, 10)
+            AND abs(a.n - b.n) <= 1 AND b.place < a.place),
+    near AS (
+        SELECT DISTINCT a AS line FROM c WHERE CASE
+          WHEN length(a) = length(b) THEN
+            len(list_filter(list_zip(string_split(a, ''), string_split(b, '')), lambda x: x[1] <> x[2])) = 1
+          WHEN length(a) < length(b) THEN
+            len(list_filter(range(1, length(b) + 1), lambda i: left(b, i - 1) || substr(b, i + 1) = a)) > 0
+          ELSE len(list_filter(range(1, length(a) + 1), lambda i: left(a, i - 1) || substr(a, i + 1) = b)) > 0 END),
+    v AS (SELECT l.doc_id, l.no, l.line,
+                 f.place IS NOT NULL AND f.place <> row(l.doc_id, l.no) AS exact,
+                 f.place IS NOT NULL AND f.place = row(l.doc_id, l.no) AND near.line IS NOT NULL AS near
+          FROM l LEFT JOIN f ON l.line = f.line LEFT JOIN near ON l.line = near.line)
+    SELECT doc_id, CAST(count(v.no) AS BIGINT) AS n_lines, CAST(count(*) FILTER (v.exact) AS BIGINT) AS n_exact,
+           CAST(count(*) FILTER (v.near) AS BIGINT) AS n_near,
+           CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE
+             coalesce(string_agg(v.line, chr(10) ORDER BY v.no) FILTER (NOT v.exact AND NOT v.near), '') END AS text
+    FROM documents d LEFT JOIN v USING (doc_id) GROUP BY doc_id"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": _LINE_DEDUP,
     "op4_minhash_near_dedup": _NEAR,
+    "op5_decontamination": _LEAKS,
 }
