@@ -64,7 +64,7 @@ def sketch_keys(hashes: np.ndarray, doc_class: int, item_class: int) -> np.ndarr
         bins = finish(hashes * _BIN) % np.uint64(m)
         _, first = np.unique(bins, return_index=True)  # the hashes are sorted: the first is the least
         hashes = hashes[first]
-    return finish(hashes + np.uint64(doc_class * 64 + item_class) * _BIN).view(np.int64)
+    return finish(hashes + np.full(1, doc_class * 64 + item_class, np.uint64) * _BIN).view(np.int64)
 
 
 def _bit_places(hashes: np.ndarray) -> np.ndarray:
