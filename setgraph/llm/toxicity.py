@@ -172,8 +172,8 @@ def _law(held: DataFrame, log_odds: dict[str, float]) -> tuple[float, float]:
     """lambda and log K from the clean calibration texts.
 
     lambda solves E[e^(lambda s)] = 1 over the tokens' scores; K makes the expected
-    number of chance segments equal to that seen.  Both need only counts of
-    scores in steps of 0.05."""
+    number of chance segments beyond their median equal to that seen.  Both need only counts
+    of scores in steps of 0.05."""
     shared = held.sparkSession.sparkContext.broadcast(log_odds)
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -197,8 +197,13 @@ def _law(held: DataFrame, log_odds: dict[str, float]) -> tuple[float, float]:
         mid = (low + high) / 2
         low, high = (mid, high) if (w * (np.exp(mid * x) - 1.0)).sum() < 0 else (low, mid)
     decay = low
-    seen = (two["n"].to_numpy(dtype=float) * np.exp(decay * two["step"].to_numpy() / 20.0)).mean() if len(two) else 1.0
-    return float(decay), float(np.log((seen + 1.0) / w.sum()))
+    if not len(two):
+        return float(decay), float(-np.log(w.sum()))
+    # matched at the median, which a few mislabelled texts do not move
+    two = two.sort_values("step")
+    count = two["n"].to_numpy(dtype=float)
+    at = int(np.searchsorted(np.cumsum(count), count.sum() / 2))
+    return float(decay), float(np.log(count[at:].sum()) + decay * two["step"].iloc[at] / 20.0 - np.log(w.sum()))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
