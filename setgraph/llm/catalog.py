@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import format_conversations, read_back
 from .common import read
 from .decontaminate import contaminations
+from .langid import identify_languages
 from .line_dedup import dedup_lines
 from .minhash import near_duplicates
 from .quality import quality
 from .secret_scan import scan_secrets
+from .sentencepiece import encode_texts
 from .sharding import shard_by_bytes
 from .toxicity import score_toxicity
 
@@ -42,10 +44,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(read(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(read(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read(spark, sf_dir, "documents"))
 
@@ -63,7 +73,9 @@ QUERIES: dict[str, Query] = {
         op3_toxicity,
         op4_minhash_near_dedup,
         op5_decontamination,
+        op6_sentencepiece,
         op7_sharding,
+        op8_language_id,
         op9_secret_scan,
         op10_chat_format,
     )

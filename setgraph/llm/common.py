@@ -15,7 +15,7 @@ from ..session import reliable_checkpoint
 # Rows of one Arrow batch.  Texts may be very long, so batches are small; the
 # byte bound below cuts them further where Spark knows that setting.
 BATCH_ROWS = 1000
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
 
 # Words of one shingle in every operator that compares texts by shingles.
 SHINGLE_WORDS = 5

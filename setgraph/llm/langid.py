@@ -268,30 +268,16 @@ def _labelled(texts_: list[str | None], model: Model) -> tuple[list[list[str]],
     return found, lengths, marginals(model.emissions(list(number))[coded], lengths, model.steps)
 
 
-def _predictions(rows: DataFrame, model: Model, schema: str, lang: str, score: str) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    carried = rows.columns
-
-    def run(batch: pa.RecordBatch) -> dict:
-        m = shared.value
-        texts_ = batch.column(TEXT).to_pylist()
-        _, lengths, p = _labelled(texts_, m)
-        ends = np.cumsum(lengths)
-        names, values = [], []
-        for text, a, b in zip(texts_, ends - lengths, ends):
-            if a == b or not m.languages or not any(map(str.isalpha, text)):
-                names.append(UNKNOWN)
-                values.append(0.0)
-            else:
-                mean = p[a:b].mean(axis=0)
-                names.append(m.languages[int(mean.argmax())])
-                values.append(float(min(mean.max(), 1.0)))
-        return {**{c: batch.column(c) for c in carried if c != TEXT}, lang: pa.array(names, pa.string()), score: pa.array(values, pa.float64())}
-
-    return map_arrow(rows, run, schema)
-
-
-TEXT = "text"
+def _languages(texts_: list[str | None], model: Model) -> tuple[list[str], list[float]]:
+    """Language and score of each text: the largest mean marginal of its words."""
+    _, lengths, p = _labelled(texts_, model)
+    names, scores = [UNKNOWN] * len(texts_), [0.0] * len(texts_)
+    ends = np.cumsum(lengths)
+    for i, (text, a, b) in enumerate(zip(texts_, ends - lengths, ends)):
+        if b > a and model.languages and any(map(str.isalpha, text)):
+            mean = p[a:b].mean(axis=0)
+            names[i], scores[i] = model.languages[int(mean.argmax())], float(min(mean.max(), 1.0))
+    return names, scores
 
 
 def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -301,8 +287,13 @@ def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame
     there are no labelled rows.  Repeated rows give equal rows; a NULL id is
     carried, learned from never and not held out.  Other columns are ignored.
     """
-    model = model or fit(docs)
-    rows = _predictions(texts(docs), model, "doc_id long, lang_pred string, score double", "lang_pred", "score")
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        names, values = _languages(batch.column("text").to_pylist(), shared.value)
+        return {"doc_id": batch.column("doc_id"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(values, pa.float64())}
+
+    rows = map_arrow(texts(docs), run, "doc_id long, lang_pred string, score double")
     return rows.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
@@ -311,7 +302,7 @@ def label_words(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
-        found, lengths, p = _labelled(batch.column(TEXT).to_pylist(), shared.value)
+        found, lengths, p = _labelled(batch.column("text").to_pylist(), shared.value)
         best = p.argmax(axis=1) if len(p) else np.empty(0, np.int64)
         return {"doc_id": batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(lengths)), lengths))),
                 "word_no": pa.array(np.concatenate([np.arange(n) for n in lengths] or [[]]).astype(np.int64)),
@@ -324,17 +315,12 @@ def label_words(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model | None = None, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or scores below ``min_score``."""
-    model = model or fit(docs)
-    plain, lang, score = fresh(docs, "plain_text"), fresh(docs, "predicted_lang"), fresh(docs, "predicted_score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    plain = fresh(docs, "plain_text")
+    shared, columns = docs.sparkSession.sparkContext.broadcast(model or fit(docs)), docs.columns
 
     def run(batch: pa.RecordBatch) -> dict:
-        m = shared.value
-        texts_ = batch.column(plain).to_pylist()
-        _, lengths, p = _labelled(texts_, m)
-        ends = np.cumsum(lengths)
-        keep = pa.array([bool(m.languages) and b > a and any(map(str.isalpha, t)) and float(p[a:b].mean(axis=0).max()) >= min_score
-                         for t, a, b in zip(texts_, ends - lengths, ends)], pa.bool_())
-        return {c: batch.column(c).filter(keep) for c in docs.columns}
+        names, scores = _languages(batch.column(plain).to_pylist(), shared.value)
+        keep = pa.array([n != UNKNOWN and x >= min_score for n, x in zip(names, scores)], pa.bool_())
+        return {c: batch.column(c).filter(keep) for c in columns}
 
     return map_arrow(docs.withColumn(plain, F.col("text").cast("string")), run, docs.schema)
