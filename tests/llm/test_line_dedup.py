@@ -50,7 +50,7 @@ def edited(r: random.Random, line: str) -> str:
     return line[:at] + ("" if kind == 1 else r.choice("XYZ")) + line[at + 1:]
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_against_brute_force(spark, seed):
     r = random.Random(seed)
     pool = [prose(100 * seed + i, r.randrange(5, 9)) for i in range(12)] + ["short", "", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"]
