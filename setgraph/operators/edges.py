@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from .ranking import dense_index
 
-# Most in-edges one reverse-adjacency row holds; a hub's list is split into
-# ceil(in_degree / ADJACENCY_ROW) rows so that no single row or task has to
-# hold an unbounded list.
+# Most in-edges that one reverse-adjacency row holds, for every node.
 ADJACENCY_ROW = 4096
 
 
@@ -35,16 +33,18 @@ def reverse_adjacency(edges: DataFrame, row_limit: int = ADJACENCY_ROW) -> DataF
     """In-neighbour lists: ``node LONG, part LONG, in_degree LONG,
     in_edges ARRAY<STRUCT<src LONG, dist DOUBLE>>``.
 
-    Parallel edges are reduced to the shortest first; the reduced table feeds
-    both the degree count and the lists, so it is materialised once (reliable
-    checkpoint) instead of being derived twice.  A node with more than
-    ``row_limit`` distinct in-neighbours gets several rows (``part`` =
-    ``src mod ceil(in_degree/row_limit)``); each list is sorted by ``src``.
+    Parallel edges are reduced to the shortest first.  The reduced edges are
+    numbered in the order (dst, src) across the table and cut every
+    ``row_limit`` places, so a row holds consecutive in-neighbours of one node
+    and at most ``row_limit`` of them, whatever the ids; ``part`` counts a node's
+    rows from 0.  Lists are collected per (node, cut): no task gathers a hub.
     """
-    e = reliable_checkpoint(min_edges(edges))
-    deg = e.groupBy("dst").agg(F.count(F.lit(1)).alias("in_degree"))
-    parts = F.ceil(F.col("in_degree") / F.lit(row_limit))
-    e = e.join(deg, "dst").withColumn("part", F.pmod(F.col("src"), parts))
-    return e.groupBy(F.col("dst").alias("node"), "part").agg(
-        F.first("in_degree").alias("in_degree"),
-        F.sort_array(F.collect_list(F.struct("src", "dist"))).alias("in_edges"))
+    if row_limit < 1:
+        raise ValueError("row_limit must be positive")
+    ranked = dense_index(min_edges(edges), "dst", "src", name="rank").withColumn(
+        "cut", F.floor(F.col("rank") / F.lit(row_limit)).cast("long"))
+    lists = ranked.groupBy("dst", "cut").agg(F.sort_array(F.collect_list(F.struct("src", "dist"))).alias("in_edges"))
+    nodes = ranked.groupBy(F.col("dst").alias("node")).agg(
+        F.count(F.lit(1)).alias("in_degree"), F.min("cut").alias("first"))
+    return lists.join(nodes, F.col("dst").eqNullSafe(F.col("node"))).select(
+        "node", (F.col("cut") - F.col("first")).alias("part"), "in_degree", "in_edges")

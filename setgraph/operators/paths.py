@@ -24,7 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import partitioned_checkpoint
+from ..session import in_session, partitioned_checkpoint, static_session
 from ..session import reliable_checkpoint as _checkpoint
 
 # In-edges per salt bucket of a node.  A hub with d in-edges is split into
@@ -36,28 +36,30 @@ SALT_EDGES = 1 << 18
 def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataFrame, DataFrame]:
     """Validated, min-reduced, salted edges and the per-node salt counts.
 
-    Returns ``(edges(dst, salt, src, w), salts(node, salts))``;
-    ``edges`` is hash-partitioned by ``(dst, salt)`` and checkpointed.
+    Returns ``(edges(dst, salt, src, w), salts(node, salts))`` as DataFrames of a
+    static session; ``edges`` is hash-partitioned by ``(dst, salt)`` and
+    checkpointed, and ``salts`` is read from it.
     """
     spark = edges.sparkSession
-    w = F.col("dist")
+    w, ends = F.col("dist"), F.col("src").isNull() | F.col("dst").isNull()
     bad = w.isNull() | F.isnan(w) | (w < 0)
-    e = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select(
-        F.col("src").cast("long").alias("src"),
-        F.col("dst").cast("long").alias("dst"),
+    e = edges.select(
+        F.when(ends, F.raise_error(F.lit("edge ends must not be null"))).otherwise(F.col("src").cast("long")).alias("src"),
+        F.when(ends, F.lit(None)).otherwise(F.col("dst").cast("long")).alias("dst"),
         F.when(bad, F.raise_error(F.lit("edge weights must be non-negative numbers")))
         .otherwise(w.cast("double")).alias("w"))
-    e = e.groupBy("src", "dst").agg(F.min("w").alias("w"))
+    e = _checkpoint(e.groupBy("src", "dst").agg(F.min("w").alias("w")))
     salts = e.groupBy(F.col("dst").alias("node")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(salt_edges)).cast("int").alias("salts"))
     e = e.join(salts.withColumnRenamed("node", "dst"), "dst")
     e = e.withColumn("salt", F.pmod(F.xxhash64("src"), F.col("salts")).cast("int"))
-    e = e.select("dst", "salt", "src", "w")
     # skewed joins above run adaptively; the result is then laid out once by
     # (dst, salt) so that every round joins it without shuffling it
-    e = _checkpoint(e)
+    e = _checkpoint(e.select("dst", "salt", "src", "w", "salts"))
+    own = static_session(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return partitioned_checkpoint(e.repartition(n, "dst", "salt")), salts
+    e = partitioned_checkpoint(in_session(e, own).repartition(n, "dst", "salt"))
+    return e.drop("salts"), e.groupBy(F.col("dst").alias("node")).agg(F.max("salts").alias("salts"))
 
 
 def _relax(state: DataFrame, e: DataFrame) -> DataFrame:
@@ -84,7 +86,7 @@ def _relax(state: DataFrame, e: DataFrame) -> DataFrame:
                     upd.alias("upd"))
 
 
-def shortest_distances(edges: DataFrame, target: int, max_rounds: int | None = None,
+def shortest_distances(edges: DataFrame, target: int,
                        salt_edges: int = SALT_EDGES, rounds_per_job: int = 2) -> DataFrame:
     """``node LONG, c STRUCT<d DOUBLE, h INT, nx LONG>`` for every node that reaches
     ``target``; ``d`` is the distance, ``h`` the hop count, ``nx`` the next node."""
@@ -102,50 +104,50 @@ def shortest_distances(edges: DataFrame, target: int, max_rounds: int | None = N
         "node", F.when(start, zero).alias("c"),
         F.coalesce("salts", F.lit(1)).alias("salts"), start.alias("upd"))
     state = partitioned_checkpoint(state.repartition(n, "node"))
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
+    while True:
         # several rounds are chained into one materialised job; convergence is
         # read from the last of them (a round without improvements is final)
-        steps = rounds_per_job if max_rounds is None else min(rounds_per_job, max_rounds - rounds)
         new = state
-        for _ in range(steps):
+        for _ in range(rounds_per_job):
             new = _relax(new, e)
         obs = Observation(f"sp-round-{uuid.uuid4().hex}")
         state = partitioned_checkpoint(
             new.observe(obs, F.coalesce(F.sum(F.col("upd").cast("long")), F.lit(0)).alias("changed")))
-        rounds += steps
         if obs.get["changed"] == 0:
             break
-    return state.where(F.col("c").isNotNull()).select("node", "c")
+    return in_session(state.where(F.col("c").isNotNull()).select("node", "c"), spark)
 
 
 def assemble_paths(dist: DataFrame) -> DataFrame:
-    """``node, path ARRAY<LONG>`` (node ... target) by pointer jumping over ``c.nx``."""
+    """``node, path ARRAY<LONG>`` (node ... target) by pointer jumping over ``c.nx``.
+
+    A node's segment ends before ``end``.  Each step appends the segment of ``end``
+    to the open rows; rows that have reached the target are set aside and only
+    joined to.  Many rows may wait for the same end, which is one row of the
+    other side; AQE splits such a key.
+    """
     max_h = dist.agg(F.max("c.h")).first()[0] or 0
     p = dist.select("node", F.array("node").alias("seg"), F.col("c.nx").alias("end"))
+    done, open_ = p.where("end IS NULL"), p.where("end IS NOT NULL")
     for _ in range(math.ceil(math.log2(max_h + 1)) if max_h > 0 else 0):
-        a, b = p.alias("a"), p.alias("b")
-        j = a.join(b, F.col("a.end") == F.col("b.node"), "left")
-        done = F.col("a.end").isNull()
-        p = _checkpoint(j.select(
-            F.col("a.node").alias("node"),
-            F.when(done, F.col("a.seg")).otherwise(F.concat("a.seg", "b.seg")).alias("seg"),
-            F.when(done, F.lit(None)).otherwise(F.col("b.end")).cast("long").alias("end")))
-    return p.select("node", F.col("seg").alias("path"))
+        a, b = open_.alias("a"), done.unionByName(open_).alias("b")
+        new = _checkpoint(a.join(b, F.col("a.end") == F.col("b.node")).select(
+            F.col("a.node").alias("node"), F.concat("a.seg", "b.seg").alias("seg"), F.col("b.end").alias("end")))
+        done, open_ = done.unionByName(new.where("end IS NULL")), new.where("end IS NOT NULL")
+    return done.select("node", F.col("seg").alias("path"))
 
 
 def shortest_paths_to(edges: DataFrame, target: int, with_path: bool = True,
-                      max_rounds: int | None = None, salt_edges: int = SALT_EDGES,
-                      rounds_per_job: int = 2) -> DataFrame:
+                      salt_edges: int = SALT_EDGES, rounds_per_job: int = 2) -> DataFrame:
     """Shortest path from every node to ``target``.
 
-    ``edges(src, dst, dist)`` with ``dist >= 0`` (a negative, NaN or NULL weight
-    raises).  Output ``node LONG, dist DOUBLE, hops INT[, path ARRAY<LONG>]``;
+    ``edges(src, dst, dist)`` with ``dist >= 0`` (a negative, NaN or NULL weight and
+    a NULL end raise).  Output ``node LONG, dist DOUBLE, hops INT[, path ARRAY<LONG>]``;
     nodes that cannot reach the target have no row, and the target has a row
     only if it is the end of some edge.  Among equally short paths the one
     with fewer hops, then the smaller next node, is taken.
     """
-    d = shortest_distances(edges, target, max_rounds, salt_edges, rounds_per_job)
+    d = shortest_distances(edges, target, salt_edges, rounds_per_job)
     out = d.select("node", F.col("c.d").alias("dist"), F.col("c.h").alias("hops"))
     if not with_path:
         return out

@@ -8,10 +8,7 @@ chunks so that the quadratic pair expansion of one line spreads over tasks.
 
 from __future__ import annotations
 
-import math
-import uuid
-
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
@@ -19,20 +16,14 @@ from ..functions.text import split_lines, tokenize
 from ..session import reliable_checkpoint
 from .ranking import dense_index
 
-# First-term positions handled per task-level chunk of a long context.  A
-# context of n terms yields n*(n-1)/2 pairs; chunking caps the pairs one row
-# expands into at about CHUNK * n.
-CHUNK = 256
-
-# Pairs per term occurrence above which the pairs are counted on integer term
-# ids (dictionary-encoded) instead of strings.  Encoding costs a few passes over
-# the terms; it pays off once the quadratic pair volume dominates (long lines).
-ENCODE_PAIRS_PER_TERM = 48
+# First-term positions handled per task-level chunk of a long context.  A chunk
+# carries the context from its first position on, so a context of n terms ships
+# about n^2 / (2 CHUNK) terms for its n^2 / 2 pairs.
+CHUNK = 1024
 
-# Pair occurrences one task of the pair expansion should produce.  The
-# expansion's partition count follows the observed pair volume, not the size
-# of its (small) input, so each task's partial-aggregation map stays small.
-PAIRS_PER_TASK = 8_000_000
+# Tasks of the pair expansion per shuffle partition.  Its input is small (one row
+# per chunk) and the work after it quadratic, so it is not coalesced by size.
+EXPANSION_TASKS = 4
 
 
 def _col(c: Column | str) -> Column:
@@ -74,30 +65,24 @@ def _weighted_contexts(df: DataFrame, col: str, context: str) -> DataFrame:
     return ctx.groupBy("terms").agg(F.count(F.lit(1)).alias("w"))
 
 
-def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms",
-           parts: int | None = None) -> DataFrame:
+def _chunks(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataFrame:
+    """``w, firsts, rest``: a context of k terms gives one row for each ``chunk`` of
+    its first-term positions, with the terms from the chunk's start on."""
+    starts = F.sequence(F.lit(0), F.floor((F.size(col) - 2) / F.lit(chunk)).cast("int"))
+    parts = F.transform(starts, lambda c: F.slice(col, c * F.lit(chunk) + 1, F.size(col)))
+    return weighted.select("w", F.explode(parts).alias("rest"))
+
+
+def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataFrame:
     """``term1, term2, n`` from ``(terms ARRAY, w)`` contexts (terms as strings
     or as ids): every position pair i < j adds ``w`` to (terms[i], terms[j]).
 
-    A context of k terms expands into k(k-1)/2 pairs.  Each context is split
-    into chunks of ``chunk`` first-term positions, and the chunks are spread
-    over partitions, so one very long context does not sit in one task.
+    The chunks of a long context are dealt to different tasks.
     """
-    n = F.size(col)
-    chunks = weighted.select(
-        col, "w",
-        F.explode(F.sequence(F.lit(0), F.floor((n - 2) / F.lit(chunk)).cast("int"))).alias("chunk"))
-    # An explicit partition count: the input of this exchange is small (one row
-    # per chunk) while the work after it is quadratic, so size-based coalescing
-    # would put the whole expansion into very few tasks.
-    base = int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunks.repartition(max(base, parts or 0), F.xxhash64(col), "chunk")
-    start = F.col("chunk") * F.lit(chunk)
-    firsts = chunks.select(
-        col, "w", start.alias("start"),
-        F.posexplode(F.slice(col, start + 1, F.lit(chunk))).alias("k", "term1"))
-    i = F.col("start") + F.col("k")
-    pairs = firsts.select("w", "term1", F.explode(F.slice(col, i + 2, F.size(col) - i - 1)).alias("term2"))
+    tasks = EXPANSION_TASKS * int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = _chunks(weighted, chunk, col).repartition(tasks, F.xxhash64("rest"))
+    firsts = chunks.select("w", "rest", F.posexplode(F.slice("rest", 1, F.lit(chunk))).alias("k", "term1"))
+    pairs = firsts.select("w", "term1", F.explode(F.slice("rest", F.col("k") + 2, F.size("rest"))).alias("term2"))
     return pairs.groupBy("term1", "term2").agg(F.sum("w").alias("n"))
 
 
@@ -113,54 +98,59 @@ def _encode(weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
-                 chunk: int = CHUNK, encode: bool | None = None) -> DataFrame:
+                 chunk: int = CHUNK, encode: bool = True) -> DataFrame:
     """Ordered co-occurrence counts ``term1 STRING, term2 STRING, n LONG``.
 
     For every context with terms t_0..t_{k-1}, every position pair i < j adds
     one to (t_i, t_j); repeats are kept, so (a, a) can occur.
 
-    The distinct weighted contexts are materialised once; the same job
-    observes how many pairs they expand into.  With ``encode=None`` the pairs
-    are counted on integer term ids when there are at least
-    ``ENCODE_PAIRS_PER_TERM`` pairs per term occurrence (strings are joined
-    back once per distinct pair), else on the strings directly.  Both give the
-    same rows.
+    The distinct weighted contexts are materialised once and their pairs
+    counted on integer term ids (strings are joined back once per distinct
+    pair).  ``encode=False`` counts on the strings, without a dictionary; it
+    gives the same rows and saves passes over the terms where lines are short.
     """
-    obs = Observation(f"cooc-{uuid.uuid4().hex}")
-    k = F.size("terms").cast("double")
-    weighted = reliable_checkpoint(_weighted_contexts(df, col, context).observe(
-        obs, F.coalesce(F.sum(k), F.lit(0.0)).alias("terms"),
-        F.coalesce(F.sum(k * (k - 1) / 2), F.lit(0.0)).alias("pairs")))
-    m = obs.get
-    parts = int(math.ceil(m["pairs"] / PAIRS_PER_TASK))
-    if encode is None:
-        encode = m["pairs"] >= ENCODE_PAIRS_PER_TERM * max(m["terms"], 1.0)
+    weighted = reliable_checkpoint(_weighted_contexts(df, col, context))
     if not encode:
-        return _pairs(weighted, chunk, parts=parts)
+        return _pairs(weighted, chunk)
     enc, vocab = _encode(weighted)
-    ids = _pairs(reliable_checkpoint(enc), chunk, parts=parts).select(
+    ids = _pairs(reliable_checkpoint(enc), chunk).select(
         F.col("term1").alias("id1"), F.col("term2").alias("id2"), "n")
     v1 = vocab.select(F.col("id").alias("id1"), F.col("term").alias("term1"))
     v2 = vocab.select(F.col("id").alias("id2"), F.col("term").alias("term2"))
     return ids.join(v1, "id1").join(v2, "id2").select("term1", "term2", "n")
 
 
-def stripes_from_pairs(pairs: DataFrame) -> DataFrame:
-    """``term1 STRING, stripe MAP<STRING,LONG>`` with second terms in byte order."""
-    return pairs.groupBy("term1").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("term2", "n")))).alias("stripe"))
+# Most second terms that one stripe row holds.
+STRIPE_ROW = 65_536
 
 
-def cooccurrence_stripes(df: DataFrame, col: str = "text", context: str = "line",
-                         chunk: int = CHUNK, encode: bool | None = None) -> DataFrame:
-    """Stripe form of :func:`cooccurrence`: one map of later terms per first term.
+def stripes_from_pairs(pairs: DataFrame, row_limit: int = STRIPE_ROW) -> DataFrame:
+    """``term1 STRING, part LONG, stripe MAP<STRING,LONG>`` with second terms in byte order.
 
-    A stripe holds one entry per distinct second term, so its size is bounded
-    by the vocabulary, not by the number of occurrences.
+    The pairs are numbered in the order (term1, term2) and cut every ``row_limit``
+    places: a row holds consecutive second terms of one first term, at most
+    ``row_limit`` of them, and ``part`` counts a term's rows from 0.
     """
-    return stripes_from_pairs(cooccurrence(df, col, context, chunk, encode))
+    ranked = dense_index(pairs.select("term1", "term2", "n"), "term1", "term2", name="rank").withColumn(
+        "cut", F.floor(F.col("rank") / F.lit(row_limit)).cast("long"))
+    maps = ranked.groupBy("term1", "cut").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("term2", "n")))).alias("stripe"))
+    first = ranked.groupBy(F.col("term1").alias("of")).agg(F.min("cut").alias("first"))
+    return maps.join(first, F.col("term1") == F.col("of")).select(
+        "term1", (F.col("cut") - F.col("first")).alias("part"), "stripe")
+
+
+def cooccurrence_stripes(df: DataFrame, col: str = "text", context: str = "line",
+                         chunk: int = CHUNK, encode: bool = True, row_limit: int = STRIPE_ROW) -> DataFrame:
+    """Stripe form of :func:`cooccurrence`: maps of later terms per first term."""
+    return stripes_from_pairs(cooccurrence(df, col, context, chunk, encode), row_limit)
 
 
 def flatten_stripes(stripes: DataFrame) -> DataFrame:
     """Back to pair rows ``term1, term2, n``."""
     return stripes.select("term1", F.explode("stripe").alias("term2", "n"))
+
+
+def pair_key(term1: Column | str = "term1", term2: Column | str = "term2") -> Column:
+    """The composite text key ``term1 term2`` of a pair."""
+    return F.concat_ws(" ", _col(term1), _col(term2))

@@ -16,13 +16,14 @@ from ..operators import edges as edge_ops
 from ..operators import paths as path_ops
 from ..operators import setsim, text
 from ..session import configure, reliable_checkpoint
-from ..sources import sinks
+from ..sources import readers, sinks
 from ..sources.tables import order_edges, table, text_sets
 
 # Fixed query parameters.
 TARGET = 1          # shortest-path target node (a part key)
 T_DOCS = 0.8        # similarity threshold over documents
 T_LOW = 0.1         # similarity threshold over benchmark items
+STRIPE_PART = 8     # second terms in a row of the flattened stripes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +64,41 @@ def cooccurrence_rows(spark, sf):
 def cooccurrence_stripes(spark, sf):
     s = text.cooccurrence_stripes(table(spark, sf, "conversations"), "text", context="line")
     total = F.aggregate(F.map_values("stripe"), F.lit(0).cast("long"), lambda acc, x: acc + x)
-    return s.select("term1", F.size("stripe").alias("n_terms"), total.alias("n_total"))
+    return s.groupBy("term1").agg(F.sum(F.size("stripe")).cast("int").alias("n_terms"), F.sum(total).alias("n_total"))
+
+
+def cooccurrence_stripes_flat(spark, sf):
+    return text.flatten_stripes(text.cooccurrence_stripes(
+        table(spark, sf, "benchmark"), "text", context="row", row_limit=STRIPE_PART))
+
+
+def word_count_lines(spark, sf):
+    return text.word_count(table(spark, sf, "documents"), "text").select(sinks.kv_line("term", "n").alias("line"))
+
+
+def cooccurrence_lines(spark, sf):
+    return text.cooccurrence(table(spark, sf, "benchmark"), "text", context="row").select(
+        sinks.kv_line(text.pair_key(), "n").alias("line"))
+
+
+def path_lines(spark, sf):
+    return path_ops.shortest_paths_to(_edges(spark, sf), TARGET).select(sinks.path_line().alias("line"))
+
+
+def edges_from_lines(spark, sf):
+    # line items as edge lines, the id not a number, parsed back
+    li = table(spark, sf, "lineitem")
+    value = F.concat_ws(" ", F.concat(F.lit("e"), F.col("l_orderkey")), "l_partkey", "l_suppkey", F.col("l_quantity").cast("string"))
+    return readers.parse_edges(li.select(value.alias("value"))).groupBy("src", "dst").agg(
+        F.count(F.lit(1)).alias("n"), F.min("dist").alias("dist"))
+
+
+def sets_from_lines(spark, sf):
+    # the customers' order keys as set lines with trailing spaces, parsed back
+    orders = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_set("o_orderkey")).alias("k"))
+    value = F.concat(F.col("o_custkey"), F.lit(" "), F.array_join(F.transform("k", lambda x: x.cast("string")), " "), F.lit(" "))
+    sets = readers.parse_sets(orders.select(value.alias("value")))
+    return sets.select("rid", F.explode("tokens").alias("token"))
 
 
 def incoming_edge_avg(spark, sf):
@@ -161,5 +196,11 @@ QUERIES: dict[str, Query] = {
     "set_similarity_join_positional": set_similarity_join_positional,
     "set_similarity_low": set_similarity_low,
     "pair_lines": pair_lines,
+    "cooccurrence_stripes_flat": cooccurrence_stripes_flat,
+    "word_count_lines": word_count_lines,
+    "cooccurrence_lines": cooccurrence_lines,
+    "path_lines": path_lines,
+    "edges_from_lines": edges_from_lines,
+    "sets_from_lines": sets_from_lines,
 }
 QUERIES = {name: _configured(q) for name, q in QUERIES.items()}

@@ -6,8 +6,6 @@ the correctness oracle: same column names, same types, same rows.
 
 from __future__ import annotations
 
-from ..functions.text import LINE_BREAK, TERM_SPLIT_REGEX
-from ..operators.edges import ADJACENCY_ROW
 from ..sources.tables import LINE_ORDER, SIGNED_OFFSET
 from .catalog import T_DOCS, T_LOW, TARGET
 
@@ -16,8 +14,10 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-RX = _lit(TERM_SPLIT_REGEX)
-LB = _lit(LINE_BREAK)
+# Fixed values, stated here again so that the statements stand on their own: the
+# term delimiters (and carriage return), and the line ends.
+RX = _lit(r"""[ *$&#/\t\n\f\r"'\\,.:;?!\[\](){}<>~_-]+""")
+LB = _lit(r"\r\n|\r|\n")
 EPS = "1e-9"
 
 
@@ -93,6 +93,12 @@ def _shortest(with_path: bool) -> str:
     FROM p JOIN d USING (node)"""
 
 
+_PAIRS_PER_ITEM = f"""
+    WITH t AS (SELECT row_number() OVER () AS id, {_terms('text')} AS ts FROM benchmark),
+    p AS (SELECT id, unnest(ts) AS w, generate_subscripts(ts, 1) AS pos FROM t)
+    SELECT a.w AS term1, b.w AS term2, CAST(count(*) AS BIGINT) AS n
+    FROM p a JOIN p b ON a.id = b.id AND a.pos < b.pos GROUP BY 1, 2"""
+
 ORACLE_SQL: dict[str, str] = {
     "terms_benchmark": f"""
     WITH l AS (SELECT item_id, unnest(string_split_regex(text, {LB})) AS line,
@@ -112,16 +118,25 @@ ORACLE_SQL: dict[str, str] = {
     "cooccurrence_documents": _pairs_per_line("documents") + """
     SELECT term1, term2, n FROM pairs""",
 
-    "cooccurrence_rows": f"""
-    WITH t AS (SELECT row_number() OVER () AS id, {_terms('text')} AS ts FROM benchmark),
-    p AS (SELECT id, unnest(ts) AS w, generate_subscripts(ts, 1) AS pos FROM t)
-    SELECT a.w AS term1, b.w AS term2, CAST(count(*) AS BIGINT) AS n
-    FROM p a JOIN p b ON a.id = b.id AND a.pos < b.pos GROUP BY 1, 2""",
+    "cooccurrence_rows": _PAIRS_PER_ITEM,
 
     "cooccurrence_stripes": _pairs_per_line("conversations") + """
     SELECT term1, CAST(count(*) AS INTEGER) AS n_terms, CAST(sum(n) AS BIGINT) AS n_total
     FROM pairs GROUP BY term1""",
 
+    "cooccurrence_stripes_flat": _PAIRS_PER_ITEM,
+    "cooccurrence_lines": f"""
+    SELECT term1 || ' ' || term2 || chr(9) || CAST(n AS VARCHAR) AS line FROM ({_PAIRS_PER_ITEM})""",
+    "word_count_lines": f"""
+    SELECT term || chr(9) || CAST(count(*) AS VARCHAR) AS line
+    FROM (SELECT unnest({_terms('text')}) AS term FROM documents) GROUP BY term""",
+    "path_lines": f"""
+    SELECT CAST(node AS VARCHAR) || chr(9) || CAST(dist AS VARCHAR) || chr(9) || path AS line FROM ({_shortest(True)})""",
+    "edges_from_lines": """
+    SELECT l_partkey AS src, l_suppkey AS dst, count(*) AS n, min(l_quantity) AS dist FROM lineitem GROUP BY 1, 2""",
+    "sets_from_lines": """
+    SELECT DISTINCT o_custkey AS rid, o_orderkey AS token FROM orders""",
+
     "incoming_edge_avg": f"""
     SELECT dst AS node, avg(dist) AS avg_dist FROM {_edges()} GROUP BY dst""",
 
@@ -131,12 +146,12 @@ ORACLE_SQL: dict[str, str] = {
 
     "reverse_adjacency": f"""
     WITH m AS (SELECT src, dst, min(dist) AS dist FROM {_edges()} GROUP BY 1, 2),
-    d AS (SELECT dst, count(*) AS in_degree FROM m GROUP BY 1)
-    SELECT dst AS node, CAST(src % CAST(ceil(in_degree / {float(ADJACENCY_ROW)}) AS BIGINT) AS BIGINT) AS part,
-           in_degree,
+    c AS (SELECT *, (row_number() OVER (ORDER BY dst, src) - 1) // 4096 AS cut FROM m),
+    p AS (SELECT *, count(*) OVER (PARTITION BY dst) AS in_degree, cut - min(cut) OVER (PARTITION BY dst) AS part FROM c)
+    SELECT dst AS node, CAST(part AS BIGINT) AS part, CAST(in_degree AS BIGINT) AS in_degree,
            string_agg(CAST(src AS VARCHAR) || ':' || CAST(CAST(dist AS BIGINT) AS VARCHAR), ',' ORDER BY src)
              AS in_edges
-    FROM m JOIN d USING (dst) GROUP BY 1, 2, 3""",
+    FROM p GROUP BY 1, 2, 3""",
 
     "shortest_dist": _shortest(False),
     "shortest_paths": _shortest(True),

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +23,13 @@ RECOMMENDED_CONF = {
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g", app: str = "setgraph") -> SparkSession:
-    """A local[N] session for tests and the benchmark (no UI, AQE on)."""
+                  driver_memory: str = "8g", app: str = "setgraph",
+                  checkpoint: str | None = None) -> SparkSession:
+    """A local[N] session for tests and the benchmark (no UI, AQE on), with
+    ``checkpoint`` as its ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.master(f"local[{cpus}]")
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     return (
@@ -56,9 +59,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting it only when unset.
 
-    On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared
-    file system).  Only a local-mode session without that setting (tests,
-    the local benchmark) gets a fresh scratch folder of its own.
+    The folder comes from ``spark.checkpoint.dir`` (on a cluster a shared file
+    system).  Only where a local-mode session leaves it unset is a folder in
+    the session's warehouse taken; a cluster session without it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -77,7 +80,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative operators need a shared "
             "checkpoint folder on a cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="setgraph-ckpt-"))
+    sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()
 
 
@@ -91,26 +94,33 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextmanager
-def _static_plan(spark: SparkSession):
-    key = "spark.sql.adaptive.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
+def in_session(df: DataFrame, session: SparkSession) -> DataFrame:
+    """``df`` as a DataFrame of another session of the same application, so that it
+    runs under that session's settings."""
+    name = f"setgraph_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
     try:
-        yield
+        return session.table(f"global_temp.{name}")
     finally:
-        spark.conf.set(key, old)
+        session.catalog.dropGlobalTempView(name)
 
 
-def partitioned_checkpoint(df: DataFrame) -> DataFrame:
-    """Like :func:`reliable_checkpoint`, but the result remembers its hash
-    partitioning, so later joins and aggregations on the same keys do not
-    shuffle it again.
+def static_session(spark: SparkSession) -> SparkSession:
+    """A session of its own with a static (non-adaptive) planner and otherwise the
+    settings of :data:`RECOMMENDED_CONF`; ``spark`` and its queries are untouched."""
+    own = spark.newSession()
+    for k, v in RECOMMENDED_CONF.items():
+        own.conf.set(k, v)
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    return own
 
-    The materialising job runs with a static (non-adaptive) plan: an adaptive
-    plan hides its output partitioning from the checkpointed relation.  Use it
-    for plans whose skew is already handled (salted keys, one row per key).
-    """
-    checkpoint_dir(df.sparkSession)
-    with _static_plan(df.sparkSession):
-        return df.checkpoint(eager=True)
+
+def partitioned_checkpoint(df: DataFrame) -> DataFrame:
+    """Like :func:`reliable_checkpoint` for a DataFrame of a :func:`static_session`: the
+    result remembers its hash partitioning, so later joins and aggregations on the
+    same keys do not shuffle it again (an adaptive plan would hide it).  For plans
+    whose skew is already handled (salted keys, one row per key)."""
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        raise ValueError("partitioned_checkpoint needs a DataFrame of a static session")
+    return reliable_checkpoint(df)

@@ -1,7 +1,8 @@
 """Readers for the plain-text inputs of the original jobs.
 
 * lines:   one context per line                     -> ``value STRING``
-* edges:   ``edge_id src dst dist`` space-separated -> ``edge_id, src, dst LONG, dist DOUBLE``
+* edges:   ``edge_id src dst dist`` space-separated -> ``edge_id STRING, src, dst LONG, dist DOUBLE``
+           (the id is carried as it stands; nothing depends on it)
 * sets:    ``rid tok tok ...`` space-separated      -> ``rid LONG, tokens ARRAY<LONG>``
 
 Malformed rows fail the job by default (ANSI casts); ``on_bad_row='drop'``
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EDGE_SCHEMA = T.StructType([
-    T.StructField("edge_id", T.LongType()),
+    T.StructField("edge_id", T.StringType()),
     T.StructField("src", T.LongType()),
     T.StructField("dst", T.LongType()),
     T.StructField("dist", T.DoubleType()),
@@ -54,7 +55,7 @@ def parse_edges(lines: DataFrame, on_bad_row: str = "fail") -> DataFrame:
         *[_cast(F.col("f")[i], EDGE_SCHEMA[i].dataType.simpleString(), on_bad_row).alias(EDGE_SCHEMA[i].name)
           for i in range(4)])
     if on_bad_row == "drop":
-        out = out.dropna()
+        out = out.dropna(subset=["src", "dst", "dist"])
     return out
 
 
@@ -63,9 +64,14 @@ def read_edges(spark: SparkSession, path: str, on_bad_row: str = "fail") -> Data
 
 
 def parse_sets(lines: DataFrame, on_bad_row: str = "fail") -> DataFrame:
-    """Set records from ``value`` lines ``rid tok tok ...`` (trailing spaces allowed)."""
-    f = F.split(F.trim(F.col("value")), " +")
-    parts = lines.where(F.trim(F.col("value")) != "").select(f.alias("f"))
+    """Set records from ``value`` lines ``rid tok tok ...`` (trailing spaces allowed).
+    A blank line is a malformed row."""
+    text = F.trim(F.col("value"))
+    if on_bad_row == "fail":
+        text = F.when(text == "", F.raise_error(F.lit("malformed set line: blank"))).otherwise(text)
+        parts = lines.select(F.split(text, " +").alias("f"))
+    else:
+        parts = lines.where(text != "").select(F.split(text, " +").alias("f"))
     rid = _cast(F.element_at("f", 1), "bigint", on_bad_row)
     toks = F.transform(F.slice("f", 2, F.size("f")), lambda x: _cast(x, "bigint", on_bad_row))
     out = parts.select(rid.alias("rid"), toks.alias("tokens"))

@@ -35,9 +35,11 @@ def _write(lines: DataFrame, path: str, mode: str) -> None:
     lines.write.mode(mode).text(path)
 
 
-def write_kv(df: DataFrame, path: str, key: str, value: str, mode: str = "error") -> None:
-    """``key\\tvalue`` lines sorted by key (e.g. word counts, averages)."""
-    _write(df.orderBy(key).select(kv_line(key, value).alias("value")), path, mode)
+def write_kv(df: DataFrame, path: str, key: str | list[str], value: str, mode: str = "error") -> None:
+    """``key\\tvalue`` lines sorted by key (e.g. word counts, averages).  Several key
+    columns are written as one key, separated by spaces, and sorted one by one."""
+    keys = [key] if isinstance(key, str) else list(key)
+    _write(df.orderBy(*keys).select(kv_line(F.concat_ws(" ", *keys), value).alias("value")), path, mode)
 
 
 def write_paths(df: DataFrame, path: str, mode: str = "error") -> None:

@@ -21,22 +21,10 @@ SIGNED_OFFSET = 25
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` (default: the cluster's
-    parallelism) when the scan yields fewer splits, e.g. a file with a single
-    row group.  A scan that is already wide enough is returned unchanged, so
-    large inputs pay no extra shuffle."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
-        return df
-    return df if have >= want else df.repartition(want)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A parquet table.  How it is split is the scan's matter
+    (``spark.sql.files.maxPartitionBytes``, ``spark.sql.files.minPartitionNum``)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def order_edges(lineitem: DataFrame, signed: bool = False) -> DataFrame:

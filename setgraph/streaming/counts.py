@@ -16,10 +16,12 @@ def stream_word_count(stream: DataFrame, col: str = "text") -> DataFrame:
     return word_count(stream, col)
 
 
-def write_counts(counts: DataFrame, checkpoint_location: str, sink: str = "memory",
+def write_counts(counts: DataFrame, checkpoint_location: str, sink: str,
                  name: str = "term_counts", mode: str = "update", **options) -> StreamingQuery:
     """Start the count query; ``checkpoint_location`` must be on a shared,
-    fault-tolerant file system on a cluster (it holds offsets and state)."""
+    fault-tolerant file system on a cluster (it holds offsets and state).  ``sink``
+    is a streaming format; ``memory`` holds the whole table on the driver and is
+    for tests."""
     w = counts.writeStream.outputMode(mode).format(sink).option("checkpointLocation", checkpoint_location)
     if sink == "memory":
         w = w.queryName(name)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 
+# The term delimiters, and the carriage return.
 DELIMS = set(" *$&#/\t\n\f\"'\\,.:;?![](){}<>~-_\r")
 
 

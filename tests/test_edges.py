@@ -1,6 +1,6 @@
 import pytest
 
-from setgraph.operators import incoming_edge_avg, reverse_adjacency
+from setgraph.operators import incoming_edge_avg, min_edges, reverse_adjacency
 
 from .conftest import rows
 
@@ -39,10 +39,17 @@ def test_reverse_adjacency(spark, tiny):
                    3: (3, [(1, 1.0), (2, 9.0), (4, 6.0)]), 4: (2, [(2, 2.0), (3, 4.0)])}
 
 
-def test_reverse_adjacency_splits_hubs(spark):
-    e = spark.createDataFrame([(i, i, 0, float(i)) for i in range(1, 11)], SCHEMA)
-    adj = reverse_adjacency(e, row_limit=3)
-    parts = adj.collect()
-    assert len(parts) == 4 and all(len(r["in_edges"]) <= 3 for r in parts)
-    assert sorted(x["src"] for r in parts for x in r["in_edges"]) == list(range(1, 11))
-    assert {r["in_degree"] for r in parts} == {10}
+@pytest.mark.parametrize("ids", [range(1, 11), range(4, 404, 4), [-7 * i for i in range(1, 30)], [5]])
+def test_reverse_adjacency_bounds_every_list(spark, ids):
+    edges = [(i, i, d, float(abs(i))) for i in ids for d in (0, 10 ** 9)] + [(0, 3, -2, 1.0)]
+    df = spark.createDataFrame(edges, SCHEMA)
+    limit = 25 if len(ids) > 25 else 3
+    parts = reverse_adjacency(df, row_limit=limit).collect()
+    assert all(0 < len(r["in_edges"]) <= limit for r in parts)
+    flat = sorted((r["node"], x["src"], x["dist"]) for r in parts for x in r["in_edges"])
+    assert flat == rows(min_edges(df), "dst", "src", "dist")
+    for node in (0, 10 ** 9):
+        own = sorted((r["part"], [x["src"] for x in r["in_edges"]]) for r in parts if r["node"] == node)
+        assert [p for p, _ in own] == list(range(len(own)))
+        assert [x for _, xs in own for x in xs] == sorted(ids)
+        assert {r["in_degree"] for r in parts if r["node"] == node} == {len(ids)}

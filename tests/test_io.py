@@ -2,6 +2,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from setgraph.operators import set_similarity_join, shortest_paths_to, word_count
 from setgraph.sources import (parse_edges, parse_sets, read_edges, read_sets, write_kv, write_pairs,
@@ -28,7 +29,7 @@ def _read_dir(path):
 def test_edges_text_round_trip(spark):
     p = _write("0 0 1 10.0\n1 1 2 3.0\n2 2 0 5\n")
     e = read_edges(spark, p)
-    assert e.schema.simpleString() == "struct<edge_id:bigint,src:bigint,dst:bigint,dist:double>"
+    assert e.schema.simpleString() == "struct<edge_id:string,src:bigint,dst:bigint,dist:double>"
     out = os.path.join(tempfile.mkdtemp(prefix="setgraph-io-"), "paths")
     write_paths(shortest_paths_to(e, 0), out)
     assert _read_dir(out) == ["0\t0.0\t0", "1\t8.0\t1->2->0", "2\t5.0\t2->0"]
@@ -38,7 +39,37 @@ def test_bad_edge_rows(spark):
     lines = spark.createDataFrame([("0 1 2 3.5",), ("oops",), ("1 2 x 1.0",)], "value string")
     with pytest.raises(Exception):
         parse_edges(lines).collect()
-    assert [tuple(r) for r in parse_edges(lines, on_bad_row="drop").collect()] == [(0, 1, 2, 3.5)]
+    assert [tuple(r) for r in parse_edges(lines, on_bad_row="drop").collect()] == [("0", 1, 2, 3.5)]
+
+
+@pytest.mark.parametrize("line", ["e x 2 3.0", "e 1 x 3.0", "e 1 2 x", "e 1 2"])
+def test_each_used_field_is_checked(spark, line):
+    good = ("e1 1 2 3.0",)
+    lines = spark.createDataFrame([good, (line,)], "value string")
+    with pytest.raises(Exception):
+        parse_edges(lines).collect()
+    assert [tuple(r) for r in parse_edges(lines, on_bad_row="drop").collect()] == [("e1", 1, 2, 3.0)]
+
+
+def test_blank_set_line_fails(spark):
+    lines = spark.createDataFrame([("1 2",), ("  ",)], "value string")
+    with pytest.raises(Exception, match="blank"):
+        parse_sets(lines).collect()
+    assert parse_sets(lines, on_bad_row="drop").count() == 1
+
+
+def test_composite_key_over_several_part_files(spark):
+    df = spark.createDataFrame([(f"t{i % 50:02d}", f"u{i % 7}", i) for i in range(3500)], "a string, b string, n long")
+    counts = df.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    out = os.path.join(tempfile.mkdtemp(prefix="setgraph-io-"), "kv")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_kv(counts, out, ["a", "b"], "n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = _read_dir(out)
+    assert len([x for x in os.listdir(out) if x.startswith("part-")]) > 1
+    assert got == sorted(got) and len(got) == counts.count() and got[0] == "t00 u0\t10"
 
 
 def test_sets_text_and_pair_sink(spark):

@@ -88,3 +88,22 @@ def test_stable_under_partitioning(spark, tiny):
     a = _result(shortest_paths_to(tiny.repartition(3), 0))
     b = _result(shortest_paths_to(tiny.orderBy(F.desc("edge_id")).coalesce(1), 0))
     assert a == b
+
+
+def test_null_ends_rejected(spark):
+    for e in ([(0, None, 2, 1.0)], [(0, 1, None, 1.0)]):
+        with pytest.raises(Exception, match="null"):
+            shortest_paths_to(spark.createDataFrame(e, SCHEMA), 2).collect()
+
+
+def test_cheaper_path_with_more_hops(spark):
+    df = spark.createDataFrame([(0, 0, 1, 1.0), (1, 1, 2, 1.0), (2, 2, 3, 1.0), (3, 0, 3, 10.0)], SCHEMA)
+    assert _result(shortest_paths_to(df, 3))[0] == (3.0, "0->1->2->3", 3)
+
+
+def test_star_and_chain(spark):
+    star = spark.createDataFrame([(i, i, 0, 1.0) for i in range(1, 200)], SCHEMA)
+    assert all(v == ((0.0, "0", 0) if n == 0 else (1.0, f"{n}->0", 1)) for n, v in _result(shortest_paths_to(star, 0)).items())
+    chain = spark.createDataFrame([(i, i + 1, i, 2.0) for i in range(20)], SCHEMA)
+    got = _result(shortest_paths_to(chain, 0))
+    assert len(got) == 21 and got[20] == (40.0, "->".join(map(str, range(20, -1, -1))), 20)

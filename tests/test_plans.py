@@ -1,10 +1,12 @@
 """Physical-plan properties the operators are designed for."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from setgraph.operators import paths, text
 from setgraph.plans import QUERIES
-from setgraph.session import _static_plan, partitioned_checkpoint
+from setgraph.session import in_session, partitioned_checkpoint
 from setgraph.sources import order_edges
 
 from .conftest import SF_SMALL
@@ -20,6 +22,24 @@ def test_word_count_prunes_and_combines(spark):
     assert "partial_count" in p
 
 
+def test_edges_are_derived_once(spark):
+    e, salts = paths.prepare_edges(order_edges(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")))
+    for df in (e, salts):
+        assert "FileScan" not in _plan(df) and "Window" not in _plan(df)
+
+
+def test_no_round_robin_before_the_edge_window(spark):
+    for name in ("incoming_edge_avg", "incoming_edge_avg_signed_truncated"):
+        assert "RoundRobin" not in _plan(QUERIES[name](spark, SF_SMALL)), name
+    # the others cut their lineage: look at the edges that they start from
+    assert "RoundRobin" not in _plan(order_edges(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")))
+
+
+def test_reverse_adjacency_collects_by_cut(spark):
+    p = _plan(QUERIES["reverse_adjacency"](spark, SF_SMALL))
+    assert "hashpartitioning(dst" in p and re.search(r"Exchange hashpartitioning\(dst#\d+L?, cut#\d+L?", p)
+
+
 def test_relaxation_round_moves_only_frontier_and_candidates(spark):
     e = order_edges(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
     pe, salts = paths.prepare_edges(e)
@@ -28,8 +48,7 @@ def test_relaxation_round_moves_only_frontier_and_candidates(spark):
                                           F.lit(None).cast("long").alias("nx")).alias("c"),
                          "salts", F.lit(True).alias("upd"))
     state = partitioned_checkpoint(state.repartition(n, "node"))
-    with _static_plan(spark):
-        p = _plan(paths._relax(state, pe))
+    p = _plan(paths._relax(state, pe))
     # one exchange for the frontier, one for the candidates; edges and state stay put
     assert p.count("Exchange hashpartitioning") == 2
     assert "ShuffledHashJoin" in p and "SortMergeJoin" not in p
@@ -44,7 +63,7 @@ def test_pair_expansion_keeps_its_partition_count(spark):
 def test_no_estimate_based_broadcast(spark):
     # static broadcast is off in the recommended settings: a broadcast can only
     # appear after AQE has measured a side
-    for name in ("set_similarity_join", "prefix_tokens", "reverse_adjacency"):
+    for name in ("set_similarity_join", "prefix_tokens", "incoming_edge_avg"):
         p = _plan(QUERIES[name](spark, SF_SMALL))
         assert "isFinalPlan=false" in p
         initial = p.split("isFinalPlan=false", 1)[1]

@@ -1,7 +1,9 @@
-from setgraph.session import checkpoint_dir, configure
-from setgraph.sources.tables import spread
+import os
 
-from .conftest import SF_SMALL
+import pytest
+
+import setgraph
+from setgraph.session import checkpoint_dir, configure, in_session, partitioned_checkpoint, static_session
 
 
 def test_checkpoint_dir_is_set_and_stable(spark):
@@ -18,9 +20,18 @@ def test_configure_turns_off_estimate_broadcast(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
-def test_spread_only_widens_narrow_scans(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
-    assert df.rdd.getNumPartitions() == 1
-    assert spread(df, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(100).repartition(6)
-    assert spread(wide, 4) is wide
+def test_static_session_leaves_the_shared_one_alone(spark):
+    own = static_session(spark)
+    assert own.conf.get("spark.sql.adaptive.enabled") == "false" and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    df = in_session(spark.range(5), own)
+    assert df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "false" and df.count() == 5
+    with pytest.raises(ValueError, match="static"):
+        partitioned_checkpoint(spark.range(5))
+
+
+def test_no_local_scratch_folder():
+    for folder, _, names in os.walk(os.path.dirname(setgraph.__file__)):
+        for name in names:
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name)) as f:
+                    assert "tempfile" not in f.read(), name

@@ -14,7 +14,7 @@ def test_stream_word_count_equals_batch(spark):
     schema = spark.read.parquet(src).schema
     d = tempfile.mkdtemp(prefix="setgraph-stream-")
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet").parquet(SF_SMALL)
-    q = write_counts(stream_word_count(stream), os.path.join(d, "ckpt"), mode="complete", name="wc_test")
+    q = write_counts(stream_word_count(stream), os.path.join(d, "ckpt"), sink="memory", mode="complete", name="wc_test")
     try:
         q.processAllAvailable()
     finally:

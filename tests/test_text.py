@@ -110,3 +110,20 @@ def test_tokenizer_matches_python_on_random_text(spark):
     got = dict(rows(df.select("id", tokenize("text").alias("t"))))
     for i, t in enumerate(texts):
         assert got[i] == py_tokenize(t), repr(t)
+
+
+def test_long_context_ships_suffixes(spark):
+    from setgraph.operators.text import _chunks
+    df = spark.createDataFrame([(list(map(str, range(5000))), 1), (["a", "b"], 2)], "terms array<string>, w long")
+    sizes = sorted(r[0] for r in _chunks(df, 1024).select(F.size("rest")).collect())
+    assert sizes == [2, 5000 - 4 * 1024, 5000 - 3 * 1024, 5000 - 2 * 1024, 5000 - 1024, 5000]
+    assert sum(sizes) < 5000 * 5000 / 1024
+
+
+def test_stripe_rows_are_bounded(spark):
+    df = spark.createDataFrame([(" ".join(["x", *(f"w{i:03d}" for i in range(50))]),)], "text string")
+    rows_ = cooccurrence_stripes(df, row_limit=7).collect()
+    assert all(0 < len(r["stripe"]) <= 7 for r in rows_)
+    own = sorted((r["part"], list(r["stripe"])) for r in rows_ if r["term1"] == "x")
+    assert [p for p, _ in own] == list(range(len(own))) and [t for _, ts in own for t in ts] == [f"w{i:03d}" for i in range(50)]
+    assert rows(flatten_stripes(cooccurrence_stripes(df, row_limit=7))) == rows(cooccurrence(df))
