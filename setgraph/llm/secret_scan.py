@@ -109,7 +109,7 @@ def assignments(text: str) -> list[Assignment]:
             elif ref in known:
                 own.refers.append(known[ref])
             more = _PLUS.match(text, term.end())
-            if not more or term["bare"] and ref is None:
+            if not more:
                 break
             at = more.end()
         known[own.name] = len(out)
