@@ -105,6 +105,19 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, h - l) for (a, b), h, l in zip(out, upto, before)]
 
 
+def token_scores(words: list[str], scores: Scores) -> np.ndarray:
+    """The scores of a text's tokens.  A word is evidence once: where it is repeated,
+    its positive score becomes that of a word without evidence, so that texts that
+    say one word over and over do not pile it up."""
+    values = np.fromiter(map(scores.__getitem__, words), dtype=np.float64, count=len(words))
+    seen: set[str] = set()
+    for i in np.flatnonzero(values > 0.0).tolist():
+        if words[i] in seen:
+            values[i] = -DRIFT
+        seen.add(words[i])
+    return values
+
+
 @dataclass(frozen=True)
 class Model:
     """Feature log-odds, the extreme-value law's lambda and log K, the logistic law."""
@@ -117,7 +130,7 @@ class Model:
     def significant(self, text: str | None, scores: Scores, most_by_chance: float = 0.05) -> tuple[list[tuple[int, int, float]], int]:
         """Significant segments as (first token, end, evidence) and the number of tokens."""
         words = tokens(text)
-        values = np.fromiter(map(scores.__getitem__, words), dtype=np.float64, count=len(words))
+        values = token_scores(words, scores)
         base = self.log_k + np.log(max(len(words), 1))
         found = ((a, b, self.decay * s - base) for a, b, s in segments(values))
         return [(a, b, e) for a, b, e in found if e > -np.log(most_by_chance)], len(words)
@@ -130,14 +143,14 @@ class Model:
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
     """``text, toxic, fold``: the training texts.  At most ``rows`` of each label, by
     the hash of their id, of rows whose crc32(doc_id) mod 3 is not 1; ids with
-    several labels count as toxic if one says so.  A quarter (fold 0) calibrates."""
+    several labels count as toxic if one says so, and equal texts once.  A quarter (fold 0) calibrates."""
     known = (labels.where(crc_mod("doc_id", 3) != 1).where(F.col("toxic").isin(0, 1))
              .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic")))
     chosen = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(rows) for y in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])  # 2 * rows at most, so it may be broadcast
     d = texts(docs)
     return materialise(d.join(F.broadcast(chosen), d["doc_id"] == chosen["id"]).where(F.col("text").isNotNull())
-                       .select("text", "toxic", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(4)).cast("int").alias("fold")))
+                       .dropDuplicates(["text"]).select("text", "toxic", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(4)).cast("int").alias("fold")))
 
 
 def _log_odds(train: DataFrame, features: int = FEATURES) -> dict[str, float]:
@@ -179,7 +192,7 @@ def _law(held: DataFrame, log_odds: dict[str, float]) -> tuple[float, float]:
     def run(batch: pa.RecordBatch) -> dict:
         scores, single, best = Scores(shared.value), Counter(), Counter()
         for text in batch.column("text").to_pylist():
-            values = np.fromiter(map(scores.__getitem__, tokens(text)), dtype=np.float64)
+            values = token_scores(tokens(text), scores)
             single.update(np.round(values * 20).astype(int).tolist())
             best.update(round(s * 20) for *_, s in segments(values))
         keys = [*((0, k) for k in single), *((1, k) for k in best)]
