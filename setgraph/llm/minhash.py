@@ -11,16 +11,24 @@ Banding.  ``BANDS`` bands of ``ROWS`` coordinates make the candidates; a pair at
 similarity 0.75 shares no band with probability (1 - 0.75^4)^32 < 6e-6.
 
 Verification is exact, on the full shingle sets.  Equal sets are collapsed first.
-Bands are settled in two steps, so that a large group of near copies does not
-make all its pairs: first every member of a band is verified against the band's
-most connected member, then only pairs that lie in different components are.
+A large group of near copies must not make all its pairs, and no link may be
+lost, so bands are settled in steps:
+
+1. Every member of a band is compared with the band's most connected member, and
+   members that miss it with the most connected one of them.
+2. Only bands whose members still lie in several components can hold open links.
+   Their members are joined exactly by prefix filtering: with the shingles in
+   order of their frequency, two linked sets share one among the first n -
+   ceil(3 n / 4) + 1 of each.  Copies with unrelated edits have their own shingles
+   there and never meet.  Members of a shingle's most frequent component meet
+   only those of other components.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import digest, finish, list_array, map_arrow, materialise, shingles, texts
@@ -81,33 +89,69 @@ def sketches(docs: DataFrame) -> DataFrame:
     return map_arrow(texts(docs), run, "doc_id long, n_shingles long, node binary, bands array<long>")
 
 
-def _similar_sizes(n: Column, m: Column) -> Column:
-    return F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m)
+def _with_texts(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    left = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+
+
+class _Sets(dict):
+    """text -> shingles, for the texts of one batch."""
+
+    def __missing__(self, text: str) -> np.ndarray:
+        s = self[text] = shingles(text)
+        return s
 
 
 def _verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets have the similarity."""
-    left = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def run(batch: pa.RecordBatch) -> dict:
-        known: dict[str, np.ndarray] = {}
-
-        def of(text: str) -> np.ndarray:
-            if text not in known:
-                known[text] = shingles(text)
-            return known[text]
-
-        keep = []
+        sets, keep = _Sets(), []
         for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-            p, q = of(x), of(y)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(p) + len(q) - both))
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            keep.append(100 * both >= PERCENT * (len(sets[x]) + len(sets[y]) - both))
         mask = pa.array(keep, pa.bool_())
         return {"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)}
 
-    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"),
-                     run, "a binary, b binary")
+    return map_arrow(_with_texts(pairs, bodies), run, "a binary, b binary")
+
+
+def _open_pairs(rows: DataFrame, roots: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Step 2: the pairs of different components that prefixes leave, for the members
+    of bands with several components."""
+    placed = rows.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
+    members = placed.join(mixed, "band", "left_semi").select("node", "root").distinct()
+
+    def run(batch: pa.RecordBatch) -> dict:
+        sets = [shingles(t) for t in batch.column("text").to_pylist()]
+        return {"node": batch.column("node"), "root": batch.column("root"), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "shingles": list_array([s.view(np.int64) for s in sets], pa.int64())}
+
+    sets = map_arrow(members.join(bodies, "node"), run, "node binary, root binary, n long, shingles array<long>")
+    held = materialise(sets.select("node", "root", "n", F.explode("shingles").alias("shingle")))
+    # shingles of one set only come first in the order and join nothing
+    common = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    ordered = held.join(common, "shingle").groupBy("node", "root", "n").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("s"))
+    ordered = ordered.withColumn("alone", F.col("n") - F.size("s"))
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100)) + 1
+    prefix = F.greatest(F.lit(0), prefix - F.col("alone")).cast("int")
+    short = materialise(
+        ordered.select("node", "root", "n", "alone", F.posexplode(F.slice("s", 1, prefix)).alias("at", "e"))
+        .select("node", "root", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"), F.col("e.shingle").alias("shingle")))
+    by_root = short.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("k"))
+    most = by_root.groupBy("shingle").agg(F.max(F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    most = most.select("shingle", F.col("top.root").alias("top"))
+    every = short.join(most, "shingle")
+    other = every.where(F.col("root") != F.col("top")).select(
+        F.col("shingle").alias("shingle_x"), F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("n").alias("n_x"),
+        F.col("left").alias("left_x"))
+    # what can still be shared from this shingle on, against 100 k >= 75 (n + n_x - k)
+    enough = (100 + PERCENT) * F.least("left", "left_x") >= PERCENT * (F.col("n") + F.col("n_x"))
+    return every.join(other, (F.col("shingle") == F.col("shingle_x")) & (F.col("root") != F.col("root_x")) & enough).select(
+        F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -125,6 +169,17 @@ def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialise(found.dropDuplicates(["node"]))
 
 
+def _hubs(rows: DataFrame) -> DataFrame:
+    """``band, hub``: the member of the highest degree of each band."""
+    return rows.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("h")).select("band", F.col("h.node").alias("hub"))
+
+
+def _star(rows: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of the bands' members with their bands' hubs."""
+    return rows.join(_hubs(rows), "band").where(F.col("node") != F.col("hub")).select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per document.
 
@@ -139,34 +194,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = materialise(
         base.where(F.col("node").isNotNull()).groupBy("node", "n_shingles")
         .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
-    rows = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
+    rows = nodes.select("node", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     rows = materialise(rows.join(shared, "band"))
     # The most connected member of a band, by the sizes of all its bands: the
     # original among copies that are each altered elsewhere.
     degree = rows.groupBy("node").agg(F.sum(F.col("size") - 1).alias("degree"))
-    rows = materialise(rows.join(degree, "node").select("band", "node", "n", "degree"))
-    hubs = rows.groupBy("band").agg(F.max(F.struct("degree", "node", "n")).alias("h")).select(
-        "band", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
-    star = materialise(
-        rows.join(hubs, "band").where((F.col("node") != F.col("hub")) & _similar_sizes(F.col("n"), F.col("hub_n")))
-        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-    ids = nodes.select("node", "doc_id")
-    bodies = _bodies(docs, rows.select("node").distinct().join(ids, "node"))
-    links = materialise(_verify(star, bodies))
-    roots = components(links)
-    # Pairs that no verified link has joined yet.  Only bands with members in
-    # more than one component can hold them.
-    placed = rows.join(roots, "node", "left").select(
-        "band", "node", "n", F.coalesce("root", "node").alias("root"))
-    open_bands = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    placed = materialise(placed.join(open_bands.select("band"), "band", "left_semi"))
-    x = placed.select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = placed.select(F.col("band").alias("band_b"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    rest = x.join(y, (F.col("band") == F.col("band_b")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-                  & _similar_sizes(F.col("na"), F.col("nb"))).select("a", "b").distinct()
-    rest = rest.join(star, ["a", "b"], "left_anti")
-    roots = components(links.unionByName(_verify(rest, bodies)))
+    rows = materialise(rows.join(degree, "node").select("band", "node", "degree"))
+    bodies = _bodies(docs, rows.select("node").distinct().join(nodes.select("node", "doc_id"), "node"))
+    first = _star(rows)
+    links = materialise(_verify(first, bodies))
+    missed = rows.join(_hubs(rows), "band").where(F.col("node") != F.col("hub")).select(
+        "band", "node", "degree", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    missed = materialise(missed.join(links, ["a", "b"], "left_anti").select("band", "node", "degree"))
+    links = materialise(links.unionByName(_verify(_star(missed), bodies)))
+    rest = _verify(_open_pairs(rows, components(links), bodies), bodies)
+    roots = components(links.unionByName(rest))
     return _settle(base, nodes, roots)
 
 
