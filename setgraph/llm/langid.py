@@ -263,8 +263,8 @@ def _labelled(texts_: list[str | None], model: Model) -> tuple[list[list[str]],
     number: dict[str, int] = {}
     coded = np.fromiter((number.setdefault(w, len(number)) for f in found for w in f), dtype=np.int64)
     lengths = np.array([len(f) for f in found], dtype=np.int64)
-    if not len(coded):
-        return found, lengths, np.empty((0, len(model.languages)), np.float32)
+    if not len(coded) or not model.languages:
+        return found, lengths, np.empty((len(coded), len(model.languages)), np.float32)
     return found, lengths, marginals(model.emissions(list(number))[coded], lengths, model.steps)
 
 
@@ -299,6 +299,8 @@ def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame
 
 def label_words(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, word_no, word, lang, probability``: the language of every word."""
+    if not model.languages:
+        raise ValueError("the model knows no language")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
