@@ -58,12 +58,12 @@ def _distinct_lines(base: DataFrame, min_chars: int) -> DataFrame:
 
 def _candidates(base: DataFrame, distinct: DataFrame) -> DataFrame:
     """``h1, h2, first, key, side, shorter, line``: lines that share a half with another."""
-    n = F.col("n")
-    sides = F.array(*[F.struct(F.col(f"k{i}").alias("key"), F.lit(i % 2).alias("side"),
-                               (n if i < 2 else n - 1).alias("shorter")) for i in range(4)])
-    halves = distinct.select("h1", "h2", "first", F.inline(sides))
+    slots = F.array(*[F.struct(F.col(f"k{i}").alias("key"), F.lit(i).cast("byte").alias("slot")) for i in range(4)])
+    halves = distinct.select("h1", "h2", F.inline(slots))
     shared = halves.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")
-    halves = halves.join(shared, "key", "left_semi")
+    halves = halves.join(shared, "key", "left_semi").join(distinct.select("h1", "h2", "first", "n"), ["h1", "h2"])
+    halves = halves.select("h1", "h2", "first", "key", (F.col("slot") % 2).alias("side"),
+                           F.when(F.col("slot") < 2, F.col("n")).otherwise(F.col("n") - 1).alias("shorter"))
     found = halves.select("*", "first.*")
     # the lines' texts, by their earliest place
     return found.join(base, found["doc"].eqNullSafe(base["doc"]) & (found["mark"] == base["mark"])).select(
