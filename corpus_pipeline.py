@@ -7,7 +7,8 @@ read again.  All stages but the last return the columns of ``documents``.
 
 * language_id: texts without a letter, and texts whose best language has a mean
   word probability below one half, go.
-* line_dedup: repeated lines are cut out of the texts; no row goes.
+* line_dedup: repeated lines are cut out of the texts, short ones too where they are
+  exact repeats; no row goes.
 * near_dedup: of each group of near-duplicates the row of the least id stays.
 * decontaminate: rows that hold a benchmark item go.
 * tokenize: the piece numbers of every text, checked to decode to it again.
@@ -35,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return drop_repeated_lines(docs)
+    return drop_repeated_lines(docs, short_exact=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

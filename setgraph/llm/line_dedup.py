@@ -1,8 +1,9 @@
 """Corpus-wide line dedup: exact repeats and lines within one edit, earliest kept.
 
 Built from DataFrame functions only.  Lines are the ``\\n``-separated parts of a
-text; those of ``MIN_CHARS`` characters or more take part, shorter ones stay
-(an edit would turn one short line into another that is no copy).
+text; those of ``MIN_CHARS`` characters or more take part.  Shorter ones stay, or
+with ``short_exact`` lose their exact repeats; near matching never takes them (an
+edit would turn one short line into another that is no copy).
 
 Exact repeats meet in one aggregation that keeps the earliest place of each
 distinct line.  Near repeats are joined through deletion neighbourhoods: a line
@@ -39,16 +40,21 @@ def _half_keys(line: Column, n: Column) -> list[Column]:
     return keys
 
 
-def _lines(base: DataFrame, min_chars: int) -> DataFrame:
+def _takes_part(line: Column, min_chars: int, short_exact: bool) -> Column:
+    long = F.length(line) >= min_chars
+    return long | (F.btrim(line, F.lit(" \t\r\x0b\x0c")) != "") if short_exact else long
+
+
+def _lines(base: DataFrame, min_chars: int, short_exact: bool) -> DataFrame:
     rows = explode_rows(base, F.split("text", "\n"), "line", "doc", "mark", pos="line_no")
-    return rows.where(F.length("line") >= min_chars)
+    return rows.where(_takes_part(F.col("line"), min_chars, short_exact))
 
 
-def _distinct_lines(base: DataFrame, min_chars: int) -> DataFrame:
+def _distinct_lines(base: DataFrame, min_chars: int, short_exact: bool) -> DataFrame:
     """``h1, h2, n, k0..k3, first(doc, line_no, mark)`` per distinct line.  The two
     hashes stand for the line."""
     n = F.length("line")
-    rows = _lines(base, min_chars).select(
+    rows = _lines(base, min_chars, short_exact).select(
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2"), n.alias("n"),
         *[k.alias(f"k{i}") for i, k in enumerate(_half_keys(F.col("line"), n))],
         F.struct("doc", "line_no", "mark").alias("place"))
@@ -108,27 +114,27 @@ def _near_lines(base: DataFrame, distinct: DataFrame) -> DataFrame:
             .select("h1", "h2").distinct())
 
 
-def _decisions(base: DataFrame, min_chars: int) -> DataFrame:
-    """``doc, mark, kept ARRAY<INT>, near``: line numbers that stay among those of
-    ``min_chars`` or more, and the number of lines dropped as near repeats."""
-    distinct = _distinct_lines(base, min_chars)
-    near = _near_lines(base, distinct).withColumn("is_near", F.lit(True))
+def _decisions(base: DataFrame, min_chars: int, short_exact: bool) -> DataFrame:
+    """``doc, mark, kept ARRAY<INT>, near``: line numbers that stay among those that
+    take part, and the number of lines dropped as near repeats."""
+    distinct = _distinct_lines(base, min_chars, short_exact)
+    near = _near_lines(base, distinct.where(F.col("n") >= min_chars) if short_exact else distinct).withColumn("is_near", F.lit(True))
     lines = distinct.join(near, ["h1", "h2"], "left").select("first.*", F.col("is_near").isNotNull().alias("is_near"))
     return lines.groupBy("doc", "mark").agg(
         F.collect_list(F.when(~F.col("is_near"), F.col("line_no"))).alias("kept"),
         F.count(F.when(F.col("is_near"), 1)).alias("near"))
 
 
-def _rewritten(base: DataFrame, min_chars: int) -> DataFrame:
+def _rewritten(base: DataFrame, min_chars: int, short_exact: bool) -> DataFrame:
     """``base`` with ``clean`` (the text without dropped lines), ``n_lines``,
     ``n_dropped`` and ``n_near``."""
-    d = _decisions(base, min_chars).select(F.col("doc").alias("d"), F.col("mark").alias("m"), "kept", "near")
+    d = _decisions(base, min_chars, short_exact).select(F.col("doc").alias("d"), F.col("mark").alias("m"), "kept", "near")
     rows = base.join(d, base["doc"].eqNullSafe(d["d"]) & (base["mark"] == d["m"]), "left").drop("d", "m")
     rows = rows.withColumn("lines", F.split("text", "\n"))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
-    long_lines = F.filter(every, lambda i: F.length(F.get("lines", i)) >= min_chars)
+    partakers = F.filter(every, lambda i: _takes_part(F.get("lines", i), min_chars, short_exact))
     kept = F.coalesce("kept", F.array().cast("array<int>"))
-    stay = F.array_except(every, F.array_except(long_lines, kept))  # hashed, so linear in the lines
+    stay = F.array_except(every, F.array_except(partakers, kept))  # hashed, so linear in the lines
     rows = rows.withColumn("stay", F.when(F.col("text").isNotNull(), stay))
     return rows.select(
         *base.columns,
@@ -144,26 +150,27 @@ def _base(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"), *more)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, short_exact: bool = False) -> DataFrame:
     """``doc_id, n_lines, n_exact, n_near, text`` per document.
 
     Places are ordered by (doc_id, line number), NULL ids first.  A line is
     dropped where an equal line stands at an earlier place (``n_exact``), or, at
     its earliest place, where a different line within one edit has an earlier
-    one, kept or not (``n_near``).  ``text`` is what stays; it is empty where
+    one, kept or not (``n_near``).  Lines under ``min_chars`` stay; with
+    ``short_exact`` exact repeats of the non-blank ones go too.  ``text`` is what stays; it is empty where
     every line went.  NULL text stays NULL with no lines.  Rows that repeat an id
     and text are one document and give equal rows.  Other columns are ignored.
     """
-    rows = _rewritten(_base(docs), min_chars)
+    rows = _rewritten(_base(docs), min_chars, short_exact)
     return rows.select(F.col("doc").alias("doc_id"), "n_lines", (F.col("n_dropped") - F.col("n_near")).alias("n_exact"),
                        "n_near", F.col("clean").alias("text"))
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, short_exact: bool = False) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_chars``, where there is one, counted
     anew.  All rows stay, also those that lose every line."""
     row = fresh(docs, "row")
-    rows = _rewritten(_base(docs, F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias(row)), min_chars)
+    rows = _rewritten(_base(docs, F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias(row)), min_chars, short_exact)
     new = {"text": F.col("clean").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("clean")).otherwise(F.col(row)["n_chars"]).cast(
