@@ -7,8 +7,10 @@ estimated with a Beta (Dirichlet) prior centred on the estimate of the feature
 before it in the chain, and on the overall share for the first.  The token's
 score is the log-odds against the overall share, less a drift, bounded.
 
-Segments.  One linear scan finds all maximal scoring segments (those whose
-score no extension or part of them raises).  Under chance the best segment of a
+Segments.  One linear scan over every occurrence finds all maximal scoring segments
+(those whose score no extension or part of them raises).  Within a segment a word
+is evidence once, so that texts that say one word over and over do not pile it up:
+a segment counts with its best part when repeats are words without evidence.  Under chance the best segment of a
 text of n tokens follows an extreme-value law: it is beyond x with a probability
 of 1 - exp(-K n e^(-lambda x)).  lambda and K are fitted to the best segments of
 clean training texts.  A segment is significant where its expected number by
@@ -106,16 +108,35 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def token_scores(words: list[str], scores: Scores) -> np.ndarray:
-    """The scores of a text's tokens.  A word is evidence once: where it is repeated,
-    its positive score becomes that of a word without evidence, so that texts that
-    say one word over and over do not pile it up."""
-    values = np.fromiter(map(scores.__getitem__, words), dtype=np.float64, count=len(words))
-    seen: set[str] = set()
-    for i in np.flatnonzero(values > 0.0).tolist():
-        if words[i] in seen:
-            values[i] = -DRIFT
-        seen.add(words[i])
-    return values
+    """The scores of a text's tokens, every occurrence alike."""
+    return np.fromiter(map(scores.__getitem__, words), dtype=np.float64, count=len(words))
+
+
+def once(words: list[str], values: np.ndarray) -> float:
+    """The largest sum of consecutive tokens in which a word's positive score counts
+    once and its repeats count as words without evidence.
+
+    For each end, only the last occurrences of the words before it can begin the best part."""
+    places = np.flatnonzero(values > 0.0).tolist()
+    base = np.concatenate([[0.0], np.cumsum(np.where(values > 0.0, -DRIFT, values))]).tolist()
+    best, last = 0.0, {}
+    for j in places:
+        last.pop(words[j], None)
+        last[words[j]] = j  # the latest comes last
+        gained = 0.0
+        for i in reversed(last.values()):
+            gained += float(values[i]) + DRIFT
+            best = max(best, gained + base[j + 1] - base[i])
+    return best
+
+
+def passages(words: list[str], values: np.ndarray) -> list[tuple[int, int, float]]:
+    """The maximal scoring segments with what they count when a word is evidence once in each."""
+    out = []
+    for a, b, s in segments(values):
+        positive = [w for w, x in zip(words[a:b], values[a:b]) if x > 0.0]
+        out.append((a, b, s if len(set(positive)) == len(positive) else once(words[a:b], values[a:b])))
+    return out
 
 
 @dataclass(frozen=True)
@@ -132,7 +153,7 @@ class Model:
         words = tokens(text)
         values = token_scores(words, scores)
         base = self.log_k + np.log(max(len(words), 1))
-        found = ((a, b, self.decay * s - base) for a, b, s in segments(values))
+        found = ((a, b, self.decay * s - base) for a, b, s in passages(words, values))
         return [(a, b, e) for a, b, e in found if e > -np.log(most_by_chance)], len(words)
 
     def score(self, evidence: float) -> float:
@@ -192,9 +213,10 @@ def _law(held: DataFrame, log_odds: dict[str, float]) -> tuple[float, float]:
     def run(batch: pa.RecordBatch) -> dict:
         scores, single, best = Scores(shared.value), Counter(), Counter()
         for text in batch.column("text").to_pylist():
-            values = token_scores(tokens(text), scores)
+            words = tokens(text)
+            values = token_scores(words, scores)
             single.update(np.round(values * 20).astype(int).tolist())
-            best.update(round(s * 20) for *_, s in segments(values))
+            best.update(round(s * 20) for *_, s in passages(words, values))
         keys = [*((0, k) for k in single), *((1, k) for k in best)]
         return {"kind": pa.array([k for k, _ in keys], pa.int32()), "step": pa.array([k for _, k in keys], pa.int32()),
                 "n": pa.array([(single, best)[kind][k] for kind, k in keys], pa.int64())}

@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from setgraph.llm.line_dedup import dedup_lines
+from setgraph.llm.toxicity import Model, Scores, once
 
 from .conftest import SF, plain, prose
 from .test_line_dedup import brute, edited
@@ -33,3 +34,38 @@ def test_short_exact_against_brute_force(spark):
         kept = [x for x in text.split("\n") if len(x) >= 24 or not (x in seen or seen.add(x))]
         want.append((i, n, all_exact, near, "\n".join(kept)))
     assert got == sorted(want, key=repr)
+
+
+INSULTS = [f"insult{c}" for c in "abcdef"]
+
+
+def toxic_model():
+    return Model({w: 3.0 for w in INSULTS}, 1.0, 0.0, (-2.0, 2.0))
+
+
+def significant(text):
+    words, found = text.split(), toxic_model().significant(text, Scores(toxic_model().log_odds))[0]
+    return [words[a:b] for a, b, _ in found]
+
+
+def test_every_passage_of_a_long_text_is_found():
+    filler = prose(3, 40)
+    scattered = " ".join(f"{w} {filler}" for w in INSULTS)
+    dense = " ".join(INSULTS)
+    assert significant(scattered) == []
+    assert significant(f"{scattered} {dense}") == [INSULTS]  # its words stand before, one by one
+    assert significant(f"{dense} {filler} {dense}") == [INSULTS, INSULTS]  # a second copy
+    assert significant(" ".join(INSULTS[:1] * 50)) == []  # one word over and over
+
+
+def test_best_part_against_definition():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        score = {w: float(x) for w, x in zip("abcdef", rng.normal(0.5, 2.0, 6))}
+        words = [str(w) for w in rng.choice(list(score), rng.integers(1, 14))]
+        best = 0.0
+        for i in range(len(words)):
+            for j in range(i, len(words)):
+                part = words[i:j + 1]
+                best = max(best, sum(-0.7 if score[w] > 0 and w in part[:k] else score[w] for k, w in enumerate(part)))
+        assert abs(once(words, np.array([score[w] for w in words])) - best) < 1e-9
