@@ -10,8 +10,10 @@ with the largest mean marginal, and that mean is its score.
 Training maximises the conditional likelihood.  Texts carry one language label
 each, so code-switched training sequences are put together from runs of words of
 several texts; this is what the transitions are learned from.  The model is fitted
-on a sample of the labelled rows, bounded by ``SAMPLE`` rows and ``RUNS`` runs of
-words of each, and its size is bounded by ``BUCKETS``, ``LEXICON`` and ``LANGUAGES``.
+on a sample of the labelled rows, bounded by ``SAMPLE`` rows (``LEAST`` a language,
+where there are so many that this is more) and ``RUNS`` runs of
+words of each.  It knows every label; a language has ``BUCKETS`` weights, and all
+lexicons together have ``LEXICON`` words.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, fresh, map_arrow, materialise, texts
 
-SAMPLE = 3_000       # labelled rows that the model is fitted on, at most
+SAMPLE = 3_000       # labelled rows that the model is fitted on, in even parts for the languages
+LEAST = 30           # rows of a language's part at least
 RUNS = 12            # runs of words taken from each of them, at most
 RUN_WORDS = (4, 16)  # words of a run
-LANGUAGES = 64       # languages learned, the most frequent ones
 LEXICON = 20_000     # words in all lexicons together, at most
 BUCKETS = 1 << 16    # hashed features
 EPOCHS = 4
@@ -204,22 +205,25 @@ def _expectations(scores: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np
         back[:, i] = x / x.sum(axis=1, keepdims=True)
     p = ahead * back
     p /= p.sum(axis=2, keepdims=True)
-    joint = ahead[:, :-1, :, None] * move * (e[:, 1:] * back[:, 1:])[:, :, None, :]
-    joint /= joint.sum(axis=(2, 3), keepdims=True)
-    return p, joint.sum(axis=(0, 1))
+    # summed over the places by a product of matrices: memory does not grow with the pairs
+    before, after = ahead[:, :-1].reshape(-1, k), (e[:, 1:] * back[:, 1:]).reshape(-1, k)
+    total = ((before @ move) * after).sum(axis=1, keepdims=True)
+    return p, move * ((before / total).T @ after)
 
 
 def _sample(docs: DataFrame, rows: int) -> tuple[DataFrame, list[str]]:
     """``lang, text`` of the training texts, and the languages.  Each language gets an
-    even part of ``rows`` (all of its rows if it has fewer), picked by hashes."""
+    even part of ``rows``, but ``LEAST`` (all of its rows if it has fewer), picked by hashes."""
     known = docs.where((crc_mod("doc_id", 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per language, like the model
     if not counts:
         return docs.limit(0).select(F.lit("").alias("lang"), F.lit("").alias("text")), []
-    share = reduce(lambda c, r: c.when(F.col("lang") == r["lang"], F.lit(rows / len(counts) / r["n"])), counts, F)
+    part = max(rows / len(counts), LEAST)
+    shares = docs.sparkSession.createDataFrame([(r["lang"], part / r["n"]) for r in counts], "of string, share double")
     pick = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1_000_000)) / 1e6
-    chosen = known.where(pick < share).select(F.col("id"), F.col("lang").alias("of")).limit(2 * rows)  # bounded: may be broadcast
+    chosen = known.join(F.broadcast(shares), F.col("lang") == F.col("of")).where(pick < F.col("share")).select("id", "of")
+    chosen = chosen.limit(int(2 * part * len(counts)))  # bounded: may be broadcast
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = d.join(F.broadcast(chosen.distinct()), F.col("doc_id") == F.col("id")).select(F.col("of").alias("lang"), "text")
     return materialise(found), sorted(r["lang"] for r in counts)

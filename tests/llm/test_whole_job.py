@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from setgraph.llm.langid import fit, identify_languages
 from setgraph.llm.line_dedup import dedup_lines
 from setgraph.llm.toxicity import Model, Scores, once
 
@@ -69,3 +70,18 @@ def test_best_part_against_definition():
                 part = words[i:j + 1]
                 best = max(best, sum(-0.7 if score[w] > 0 and w in part[:k] else score[w] for k, w in enumerate(part)))
         assert abs(once(words, np.array([score[w] for w in words])) - best) < 1e-9
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows, r = [], random.Random(6)
+    for k in range(70):  # each language has its own letters; the last ones are the rarest
+        letters = [chr(0x4E00 + 8 * k + i) for i in range(8)]
+        for _ in range(12 if k < 64 else 6):
+            text = " ".join("".join(r.choice(letters) for _ in range(r.randrange(2, 6))) for _ in range(40))
+            rows.append((len(rows), text, f"l{k:02d}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(df)
+    assert model.languages == [f"l{k:02d}" for k in range(70)]
+    pred = {x["doc_id"]: x["lang_pred"] for x in identify_languages(df, model).collect()}
+    assert all(pred[i] == lang for i, _, lang in rows if lang >= "l64")
+    assert sum(pred[i] == lang for i, _, lang in rows) >= 0.98 * len(rows)
