@@ -9,7 +9,7 @@ read again.  All stages but the last return the columns of ``documents``.
   word probability below one half, go.
 * line_dedup: repeated lines are cut out of the texts, short ones too where they are
   exact repeats; no row goes.
-* near_dedup: of each group of near-duplicates the row of the least id stays.
+* near_dedup: of each group of near-duplicates one row stays, that of the least id.
 * decontaminate: rows that hold a benchmark item go.
 * tokenize: the piece numbers of every text, checked to decode to it again.
 """

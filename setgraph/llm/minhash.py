@@ -75,18 +75,19 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return key
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, node BINARY, bands ARRAY<LONG>``; ``node`` is a digest
-    of the shingle set, NULL where it is empty."""
+def sketches(docs: DataFrame, marked: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, node BINARY, bands ARRAY<LONG>[, mark]``; ``node`` is a digest
+    of the shingle set, NULL where it is empty, ``mark`` a hash of the text."""
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = [shingles(t) for t in batch.column("text").to_pylist()]
         keys = [band_keys(sketch(s)).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
         return {"doc_id": batch.column("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "node": pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
-                "bands": list_array(keys, pa.int64())}
+                "bands": list_array(keys, pa.int64()), **({"mark": batch.column("mark")} if marked else {})}
 
-    return map_arrow(texts(docs), run, "doc_id long, n_shingles long, node binary, bands array<long>")
+    rows = texts(docs).withColumn("mark", F.xxhash64("text")) if marked else texts(docs)
+    return map_arrow(rows, run, "doc_id long, n_shingles long, node binary, bands array<long>" + ", mark long" * marked)
 
 
 def _with_texts(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -191,6 +192,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     never the least id beside a known one.  Other columns are ignored.
     """
     base = materialise(sketches(docs))
+    return _settle(base, *_linked(docs, base))
+
+
+def _linked(docs: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct sets ``node, n_shingles, doc_id, bands`` and the roots ``node, root``
+    of those with links."""
     nodes = materialise(
         base.where(F.col("node").isNotNull()).groupBy("node", "n_shingles")
         .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
@@ -209,8 +216,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     missed = materialise(missed.join(links, ["a", "b"], "left_anti").select("band", "node", "degree"))
     links = materialise(links.unionByName(_verify(_star(missed), bodies)))
     rest = _verify(_open_pairs(rows, components(links), bodies), bodies)
-    roots = components(links.unionByName(rest))
-    return _settle(base, nodes, roots)
+    return nodes, components(links.unionByName(rest))
 
 
 def _settle(base: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -226,7 +232,19 @@ def _settle(base: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: that of the least id.  Rows that
-    repeat an id and text are one document and stay together."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    """``docs`` with one row of each group: that of the least id, known ones first, and
+    of texts under one id that of the least hash.  Rows that repeat an id and text are
+    one document, of which the least row stays, also where it has no words."""
+    base = materialise(sketches(docs, marked=True))
+    _, roots = _linked(docs, base)
+    # NULL ids by a flag, so that the joins are plain ones
+    place = [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "mark"]
+    least = base.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct(*place)).alias("least"))
+    least = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
+    kept = least.select("least.*").unionByName(base.where(F.col("node").isNull()).select(*place).distinct())
+    # repeated rows meet in a partial aggregation before they are moved
+    row = F.struct(*[F.col(c) for c in docs.columns if c != "text"], F.col("text"))
+    d = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+                    F.xxhash64(F.col("text").cast("string")).alias("mark"), row.alias("row"))
+    d = d.groupBy("no_id", "id", "mark").agg(F.min("row").alias("row"))
+    return d.join(kept, ["no_id", "id", "mark"], "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 from setgraph.llm.langid import fit, identify_languages
 from setgraph.llm.line_dedup import dedup_lines
+from setgraph.llm.minhash import drop_near_duplicates
 from setgraph.llm.toxicity import Model, Scores, once
 
 from .conftest import SF, plain, prose
@@ -85,3 +86,14 @@ def test_every_labelled_language_is_learned(spark):
     pred = {x["doc_id"]: x["lang_pred"] for x in identify_languages(df, model).collect()}
     assert all(pred[i] == lang for i, _, lang in rows if lang >= "l64")
     assert sum(pred[i] == lang for i, _, lang in rows) >= 0.98 * len(rows)
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    a, b, c = prose(11, 80), prose(12, 80), prose(13, 80)
+    rows = [(1, a, "x"), (5, f"{a} more", "x"), (5, b, "x"),      # an id on two texts, one of them a near copy of row 1
+            (None, "", "x"), (None, f"{b} more", "x"),            # a NULL id with an empty text, and a near copy of row 5
+            (7, c, "y"), (7, c, "x"), (7, c, "x"), (None, f"{c} more", "x"), (8, None, "x"), (8, None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = [(1, a, "x"), (5, b, "x"), (None, "", "x"), (7, c, "x"), (8, None, "x")]
+    kept = drop_near_duplicates(df)
+    assert kept.schema == df.schema and plain(kept) == sorted(want, key=repr)
