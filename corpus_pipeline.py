@@ -5,8 +5,8 @@ Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept; between stages the rows are written as Parquet to the shared folder and
 read again.  All stages but the last return the columns of ``documents``.
 
-* language_id: texts without a letter, and texts whose best language has a mean
-  word probability below one half, go.
+* language_id: texts without a letter, and texts whose words have a best language of a
+  mean probability below one half, go; texts of several languages stay.
 * line_dedup: repeated lines are cut out of the texts, short ones too where they are
   exact repeats; no row goes.
 * near_dedup: of each group of near-duplicates one row stays, that of the least id.

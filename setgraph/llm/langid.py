@@ -40,7 +40,7 @@ SEQUENCE = 40        # words of a training sequence
 STAY = 0.8           # chance that the next run of a training sequence keeps its language
 SEED = 20240501
 UNKNOWN = "und"
-MIN_SCORE = 0.5      # least score of a document that the pipeline keeps
+MIN_SCORE = 0.5      # least mean confidence in a document's words with which the pipeline keeps it
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -272,16 +272,18 @@ def _labelled(texts_: list[str | None], model: Model) -> tuple[list[list[str]],
     return found, lengths, marginals(model.emissions(list(number))[coded], lengths, model.steps)
 
 
-def _languages(texts_: list[str | None], model: Model) -> tuple[list[str], list[float]]:
-    """Language and score of each text: the largest mean marginal of its words."""
+def _languages(texts_: list[str | None], model: Model) -> tuple[list[str], list[float], list[float]]:
+    """Language and score of each text, the largest mean marginal of its words, and the
+    mean of each word's largest marginal, which mixed languages do not lower."""
     _, lengths, p = _labelled(texts_, model)
-    names, scores = [UNKNOWN] * len(texts_), [0.0] * len(texts_)
+    names, scores, sure = [UNKNOWN] * len(texts_), [0.0] * len(texts_), [0.0] * len(texts_)
     ends = np.cumsum(lengths)
     for i, (text, a, b) in enumerate(zip(texts_, ends - lengths, ends)):
         if b > a and model.languages and any(map(str.isalpha, text)):
             mean = p[a:b].mean(axis=0)
             names[i], scores[i] = model.languages[int(mean.argmax())], float(min(mean.max(), 1.0))
-    return names, scores
+            sure[i] = float(min(p[a:b].max(axis=1).mean(), 1.0))
+    return names, scores, sure
 
 
 def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -294,7 +296,7 @@ def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
 
     def run(batch: pa.RecordBatch) -> dict:
-        names, values = _languages(batch.column("text").to_pylist(), shared.value)
+        names, values, _ = _languages(batch.column("text").to_pylist(), shared.value)
         return {"doc_id": batch.column("doc_id"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(values, pa.float64())}
 
     rows = map_arrow(texts(docs), run, "doc_id long, lang_pred string, score double")
@@ -320,13 +322,15 @@ def label_words(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model | None = None, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without the rows whose language is ``und`` or scores below ``min_score``."""
+    """``docs`` without the rows whose language is ``und`` or whose words have, on the
+    mean, a best language of a probability below ``min_score``.  Clean text of several
+    languages stays."""
     plain = fresh(docs, "plain_text")
     shared, columns = docs.sparkSession.sparkContext.broadcast(model or fit(docs)), docs.columns
 
     def run(batch: pa.RecordBatch) -> dict:
-        names, scores = _languages(batch.column(plain).to_pylist(), shared.value)
-        keep = pa.array([n != UNKNOWN and x >= min_score for n, x in zip(names, scores)], pa.bool_())
+        names, _, sure = _languages(batch.column(plain).to_pylist(), shared.value)
+        keep = pa.array([n != UNKNOWN and x >= min_score for n, x in zip(names, sure)], pa.bool_())
         return {c: batch.column(c).filter(keep) for c in columns}
 
     return map_arrow(docs.withColumn(plain, F.col("text").cast("string")), run, docs.schema)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from setgraph.llm.langid import fit, identify_languages
+from setgraph.llm.langid import fit, identify_languages, keep_identified
 from setgraph.llm.line_dedup import dedup_lines
 from setgraph.llm.minhash import drop_near_duplicates
 from setgraph.llm.toxicity import Model, Scores, once
@@ -97,3 +97,17 @@ def test_near_dedup_keeps_one_row_of_each_group(spark):
     want = [(1, a, "x"), (5, b, "x"), (None, "", "x"), (7, c, "x"), (8, None, "x")]
     kept = drop_near_duplicates(df)
     assert kept.schema == df.schema and plain(kept) == sorted(want, key=repr)
+
+
+def test_clean_text_of_three_languages_is_kept(spark):
+    rows, r = [], random.Random(8)
+    parts = []
+    for k in range(4):
+        letters = [chr(0x4E00 + 8 * k + i) for i in range(8)]
+        made = [" ".join("".join(r.choice(letters) for _ in range(r.randrange(2, 6))) for _ in range(40)) for _ in range(60)]
+        rows += [(len(rows) + i, t, f"l{k}") for i, t in enumerate(made)]
+        parts.append(made[0])
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    df = spark.createDataFrame([(1, " ".join(parts[:3]), None), (2, "12 --", None)], "doc_id long, text string, lang string")
+    assert identify_languages(df, model).where("doc_id = 1").first()["score"] < 0.5
+    assert [x["doc_id"] for x in keep_identified(df, model).collect()] == [1]
