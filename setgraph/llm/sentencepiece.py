@@ -4,15 +4,16 @@ A text is encoded by the merges of a SentencePiece BPE model: a space is put in
 front, spaces become the space symbol, and among all neighbouring symbols whose
 join is a piece the best piece is merged, leftmost first among equals, until
 none is left.  A candidate taken from the agenda is skipped, for good, where a
-keyed hash says so: of the seed, the text's variant at that place, the word, the
-place in the word and the piece.  The same seed and epoch give the same pieces on
+keyed hash says so: of the seed, the text's key, the word's place in the text, the
+word, the place in the word and the piece.  The same seed and epoch give the same pieces on
 any cluster; other epochs and places give others.  Characters without a piece
 become byte pieces, a literal space symbol too, so decoding restores every text.
 
 No piece holds a space symbol after another character, or a line break, so words
-with the spaces before them are encoded independently.  Equal words in equal
-variants are encoded once a block, all words of one length together: each round
-every word takes its best candidate.  Words longer than ``LONG`` symbols use a
+with the spaces before them are encoded independently.  Equal words are encoded
+once a block without skips, and an occurrence takes that where the keyed hash drops
+none of its merges; the others are encoded one by one.  All words of one length go
+together: each round every word takes its best candidate.  Words longer than ``LONG`` symbols use a
 heap.  A text is cut into blocks at word bounds, so memory is bounded by a block.
 
 The model file is read once on the driver and sent to the tasks; texts in other
@@ -36,7 +37,6 @@ from .common import finish, list_array, map_arrow, texts
 
 DROPOUT = 0.1
 SEED = 20240501
-VARIANTS = 8          # segmentations that one word can have in an epoch
 LONG = 24             # symbols of a word beyond which the heap is used
 BLOCK = 1_000_000     # characters encoded together, but for single words longer than that
 
@@ -130,9 +130,11 @@ def _skipped(key: np.ndarray, place: np.ndarray, piece: np.ndarray, limit: np.ui
     return finish(h + piece.astype(np.uint64) * _G) < limit
 
 
-def _short_words(v: Vocabulary, symbols: np.ndarray, key: np.ndarray, limit: np.uint64) -> list[tuple[np.ndarray, np.ndarray]]:
+def _short_words(v: Vocabulary, symbols: np.ndarray, key: np.ndarray, limit: np.uint64,
+                 took: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """Merge words of one length (rows of ``symbols``).  Returns (rows, symbols) of
-    words that end with equally many symbols."""
+    words that end with equally many symbols; ``took`` gets (rows, places, pieces) of
+    each round's merges."""
     rows, (w, n) = np.arange(len(symbols)), symbols.shape
     piece = v.merged(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()).reshape(w, n - 1) if n > 1 else np.empty((w, 0), np.int32)
     rank = v.rank_of(piece)
@@ -157,6 +159,8 @@ def _short_words(v: Vocabulary, symbols: np.ndarray, key: np.ndarray, limit: np.
         if not len(m):
             continue
         b, made = best[m], new[~skip]
+        if took is not None:
+            took.append((rows[m], start[m, b], made))
         shift = lambda x, after: np.take_along_axis(
             x[m], np.minimum(np.arange(x.shape[1]) + (np.arange(x.shape[1]) > after[:, None]), x.shape[1] - 1), axis=1)
         s, st, p, r = shift(symbols, b), shift(start, b), shift(piece, b), shift(rank, b)
@@ -179,8 +183,8 @@ def _short_words(v: Vocabulary, symbols: np.ndarray, key: np.ndarray, limit: np.
     return out
 
 
-def _long_word(v: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: np.uint64) -> list[int]:
-    """The same merges for one word, with a heap and a linked list."""
+def _long_word(v: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: np.uint64, took: list | None = None) -> list[int]:
+    """The same merges for one word, with a heap and a linked list; ``took`` gets (place, piece) of each."""
     sym: list[int] = symbols.tolist()
     n = len(sym)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -201,6 +205,8 @@ def _long_word(v: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: np.uin
             continue  # one of the two has been merged since
         if _skipped(one, np.array([i]), np.array([piece]), limit)[0]:
             continue
+        if took is not None:
+            took.append((i, piece))
         sym[i], sym[j] = piece, -1
         after[i] = after[j]
         if after[i] < n:
@@ -215,7 +221,7 @@ class Encoder:
     """Encoding and decoding with one vocabulary, seed, epoch and rate."""
 
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, epoch: int = 0):
-        self.v, self.variants = vocabulary, VARIANTS if dropout > 0 else 1
+        self.v = vocabulary
         self.limit = np.uint64(min(int(dropout * 2.0 ** 64), 2 ** 64 - 1))
         self.seed = xxhash.xxh3_64_intdigest(f"{seed}:{epoch}".encode())
 
@@ -239,7 +245,7 @@ class Encoder:
             yield held
 
     def encode(self, keys: list[int], texts_: list[str | None]) -> list[np.ndarray]:
-        """Piece numbers of each text.  ``keys`` choose the texts' variants."""
+        """Piece numbers of each text.  ``keys`` are part of the keyed hash."""
         parts: list[list[np.ndarray]] = [[] for _ in texts_]
         for block in self.blocks(keys, texts_):
             for (i, *_), ids in zip(block, self._block(block)):
@@ -255,9 +261,17 @@ class Encoder:
         place = np.arange(len(coded)) - np.repeat(ends - sizes, sizes) + np.repeat([first for _, _, first, _ in block], sizes)
         own = np.repeat(np.array([key & (2 ** 64 - 1) for _, key, _, _ in block], dtype=np.uint64), sizes)
         seed = np.full(1, self.seed, dtype=np.uint64)
-        variant = finish(finish(own + seed) + place.astype(np.uint64) * _G) % np.uint64(self.variants)
-        kinds, which = np.unique(coded * self.variants + variant.astype(np.int64), return_inverse=True)
-        ids, size = self._kinds(list(number), kinds // self.variants, (kinds % self.variants).astype(np.uint64))
+        spot = finish(finish(own + seed) + place.astype(np.uint64) * _G)
+        words, which = list(number), coded
+        ids, size, merges = self._kinds(words, np.arange(len(words)), None)
+        if self.limit:
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+            key = finish(hashes[coded] + spot)
+            skips = np.flatnonzero(self._skips(coded, key, *merges))
+            others, lengths, _ = self._kinds(words, coded[skips], key[skips])
+            ids, size = np.concatenate([ids, others]), np.concatenate([size, lengths])
+            which = coded.copy()
+            which[skips] = len(words) + np.arange(len(skips))
         first = np.cumsum(size) - size
         take = size[which]
         stop = np.cumsum(take)
@@ -265,28 +279,52 @@ class Encoder:
         bounds = np.concatenate([[0], stop])[np.concatenate([[0], ends])]
         return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def _kinds(self, words: list[str], word: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The pieces of (word, variant) kinds, one after the other, and their numbers."""
+    def _skips(self, word: np.ndarray, key: np.ndarray, owner: np.ndarray, at: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether the keyed hash drops one of the merges that an occurrence's word has without skips."""
+        count = np.bincount(owner, minlength=int(word.max(initial=-1)) + 1)
+        begin = np.cumsum(count) - count
+        out = np.zeros(len(word), dtype=bool)
+        todo, k = np.flatnonzero(count[word] > 0), 0
+        while len(todo):  # the k-th merge of all occurrences that have one and no skip yet
+            row = begin[word[todo]] + k
+            out[todo] = _skipped(key[todo], at[row], piece[row], self.limit)
+            k += 1
+            todo = todo[~out[todo] & (count[word[todo]] > k)]
+        return out
+
+    def _kinds(self, words: list[str], word: np.ndarray, key: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, tuple | None]:
+        """The pieces of words under their keys, one after the other, and their numbers.
+        Without keys nothing is skipped, and the merges come too: (word, place, piece)."""
         v = self.v
+        limit, merges = (self.limit, None) if key is not None else (np.uint64(0), [])
+        key = np.zeros(len(word), np.uint64) if key is None else key
         symbols = v.symbol[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         first = np.cumsum(length) - length
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), dtype=np.uint64, count=len(words))
-        key = finish(finish(hashes[word] + np.full(1, self.seed, np.uint64)) + variant * _G)
-        owner, values = [], []
+        owner, values = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
         for n in np.unique(length[word]).tolist():
             at = np.flatnonzero(length[word] == n)
             table = symbols[first[word[at]][:, None] + np.arange(n)]
             if n > LONG:
                 for i, row in zip(at, table):
-                    made = np.array(_long_word(v, row, key[i], self.limit), dtype=np.int32)
+                    took = None if merges is None else []
+                    made = np.array(_long_word(v, row, key[i], limit, took), dtype=np.int32)
+                    if took:
+                        merges.append((np.full(len(took), i), *np.array(took, dtype=np.int32).T))
                     owner.append(np.full(len(made), i))
                     values.append(made)
                 continue
-            for rows, made, left in _short_words(v, table.copy(), key[at], self.limit):
+            took = None if merges is None else []
+            for rows, made, left in _short_words(v, table.copy(), key[at], limit, took):
                 used = np.arange(made.shape[1]) < left[:, None]
                 owner.append(np.repeat(at[rows], left))
                 values.append(made[used])
+            if took:
+                merges += [(at[rows], places, pieces) for rows, places, pieces in took]
+        if merges is not None:
+            who, *what = ([np.concatenate(x) for x in zip(*merges)] if merges else [np.empty(0, np.int64)] * 3)
+            order = np.argsort(who, kind="stable")
+            merges = (who[order], *(x[order] for x in what))
         owner, values = np.concatenate(owner), np.concatenate(values)
         order = np.argsort(owner, kind="stable")
         owner, values = owner[order], values[order]
@@ -298,7 +336,7 @@ class Encoder:
             owner, wide = np.repeat(owner, repeat), np.repeat(values, repeat)
             wide[wide >= v.size] = [b for bs in as_bytes for b in bs]
             values = wide
-        return values.astype(np.int32), np.bincount(owner, minlength=len(word))
+        return values.astype(np.int32), np.bincount(owner, minlength=len(word)), merges
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece numbers; the space in front is taken off."""

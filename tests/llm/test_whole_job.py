@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from setgraph.llm import sentencepiece as pieces
 from setgraph.llm.langid import fit, identify_languages, keep_identified
 from setgraph.llm.line_dedup import dedup_lines
 from setgraph.llm.minhash import drop_near_duplicates
@@ -111,3 +112,22 @@ def test_clean_text_of_three_languages_is_kept(spark):
     df = spark.createDataFrame([(1, " ".join(parts[:3]), None), (2, "12 --", None)], "doc_id long, text string, lang string")
     assert identify_languages(df, model).where("doc_id = 1").first()["score"] < 0.5
     assert [x["doc_id"] for x in keep_identified(df, model).collect()] == [1]
+
+
+def test_a_word_has_more_segmentations_than_eight_and_cached_ones_are_exact(monkeypatch):
+    with open(pieces.default_model(), "rb") as f:
+        v = pieces.Vocabulary(f.read())
+    text = " ".join(["internationalization"] * 400 + ["of"] * 50 + prose(4, 60).split())
+    e = pieces.Encoder(v, 0.2)
+    ids = e.encode([3], [text])[0]
+    assert e.decode(ids) == text
+    cut, word = set(), []
+    for i in ids.tolist():
+        if v.bytes[i][:1] == b" " and word:
+            cut.add(tuple(word))
+            word = []
+        word.append(i)
+    assert sum(b"".join(v.bytes[i] for i in c) == b" internationalization" for c in cut) > 8
+    # all occurrences one by one give the same
+    monkeypatch.setattr(pieces.Encoder, "_skips", lambda self, word, *_: np.ones(len(word), dtype=bool))
+    assert np.array_equal(e.encode([3], [text])[0], ids)
