@@ -49,9 +49,18 @@ _AGAINST = {"id", "name", "url", "uri", "path", "file", "count", "size", "length
             "label", "expiry", "expires", "timeout", "limit", "max", "min"}
 _PLACEHOLDER = re.compile(r"(?i)^(x+|\*+|\.+|-+|null|none|true|false|change.?me|example|your.*|todo|undefined|<.*)$")
 
+# A name, with a sigil or in quotes, and an operator; a quoted key in a subscript; a tag; an
+# option; a name with its type after it ("var name type =").
 _TARGET = re.compile(
-    r"""(?<![\w.\-$])(["']?)([A-Za-z_][\w.\-]*)\1[ \t]*(?::=|=>|=(?![=>])|:(?![:=]))[ \t]*"""
-    r"""|<([A-Za-z_][\w.\-]*)>(?=[^<>\s]+</)|(?<![\w\-])--([A-Za-z][\w\-]*)[ \t=]+""", re.A)
+    r"""(?<![\w.\-$])(["']?)\$?([A-Za-z_][\w.\-]*)\1[ \t]*(?::=|=>|=(?![=>])|:(?![:=]))[ \t]*"""
+    r"""|<([A-Za-z_][\w.\-]*)>(?=[^<>\s]+</)|(?<![\w\-])--([A-Za-z][\w\-]*)[ \t=]+"""
+    r"""|(?<=[\[{])[ \t]*(["'])([A-Za-z_][\w.\-]*)\5[ \t]*[\]}][ \t]*(?::=|=(?![=>~]))[ \t]*"""
+    r"""|(?<![\w.\-$])(?:var|const)[ \t]+([A-Za-z_]\w*+)(?=[ \t]+[A-Za-z_*][\w.]*+[ \t]*=(?![=>]))[ \t]*""", re.A)
+# A type between a name and the literal that it gets.
+_TYPE = re.compile(
+    r"""&?(?:'\w++[ \t]+)?[A-Za-z_*][\w.]*+(?:\[[^\]\n=]{0,80}\]|<[^>\n=]{0,80}>)?[?!]?"""
+    r"""(?:[ \t]*\|[ \t]*[A-Za-z_][\w.]*+){0,8}[ \t]*=(?![=>])[ \t]*""", re.A)
+_TYPES = {"str", "string", "bytes", "text", "char", "any", "object", "none", "null", "undefined"}
 _TERM = re.compile(
     r"""(?P<q>["'])(?P<quoted>(?:(?!(?P=q))[^\\\n]|\\.)*)(?P=q)|\$\{(?P<braced>\w+)\}|\$(?P<var>\w+)|(?P<bare>[^\s"'`,;(){}\[\]<>+]+(?:\+[^\s"'`,;(){}\[\]<>+]+)*)""",
     re.A)
@@ -97,11 +106,14 @@ class Assignment:
 
 def assignments(text: str) -> list[Assignment]:
     """The assignments in the order of the text.  A name in an expression refers to
-    the last assignment to it before."""
+    the last assignment to it before.  In "name: type = literal" the literal is the
+    name's and, as it may be a label before an assignment, the type word's too."""
     known: dict[str, int] = {}
     out: list[Assignment] = []
     for m in _TARGET.finditer(text):
-        own, at = Assignment(m[2] or m[3] or m[4]), m.end()
+        own, at = Assignment(m[2] or m[3] or m[4] or m[6] or m[7]), m.end()
+        if (m[2] or m[7]) and (typed := _TYPE.match(text, at)) and (m[7] or text[m.start():at].rstrip()[-1] == ":"):
+            at = typed.end()
         while term := _TERM.match(text, at):
             ref = term["braced"] or term["var"] or (term["bare"] if term["bare"] in known else None)
             if ref is None:
@@ -112,7 +124,8 @@ def assignments(text: str) -> list[Assignment]:
             if not more:
                 break
             at = more.end()
-        known[own.name] = len(out)
+        if own.name.lower() not in _TYPES:
+            known[own.name] = len(out)
         out.append(own)
     return out
 

@@ -10,6 +10,7 @@ from setgraph.llm import sentencepiece as pieces
 from setgraph.llm.langid import fit, identify_languages, keep_identified
 from setgraph.llm.line_dedup import dedup_lines
 from setgraph.llm.minhash import drop_near_duplicates
+from setgraph.llm.secret_scan import scan_text
 from setgraph.llm.toxicity import Model, Scores, once
 
 from .conftest import SF, plain, prose
@@ -131,3 +132,29 @@ def test_a_word_has_more_segmentations_than_eight_and_cached_ones_are_exact(monk
     # all occurrences one by one give the same
     monkeypatch.setattr(pieces.Encoder, "_skips", lambda self, word, *_: np.ones(len(word), dtype=bool))
     assert np.array_equal(e.encode([3], [text])[0], ids)
+
+
+@pytest.mark.parametrize("text", [
+    "$db_pass = 'Zx81-qq7!Lm2';",
+    "$k = 'Zx81-qq7!Lm2';\n$db_pwd = $k;",
+    "my $pwd = 'Zx81-qq7!Lm2';",
+    "config['db_pwd'] = 'Zx81-qq7!Lm2'",
+    '$cfg["db"]["pass"] = "Zx81-qq7!Lm2";',
+    "$h{'pwd'} = 'Zx81-qq7!Lm2';",
+    "db_pwd: str = 'Zx81-qq7!Lm2'",
+    "db_pwd: str | None = 'Zx81-qq7!Lm2'",
+    "db_pwd: Optional[str] = 'Zx81-qq7!Lm2'",
+    "const pwd: string = 'Zx81-qq7!Lm2'",
+    "const PWD: &'static str = \"Zx81-qq7!Lm2\";",
+    'var pwd string = "Zx81-qq7!Lm2"',
+    'const string pwd = "Zx81-qq7!Lm2";',
+    "INFO: pwd = 'Zx81-qq7!Lm2'",
+    "k: str = 'Zx81-qq7!Lm2'\npwd = k",
+])
+def test_secrets_in_common_source_forms(text):
+    assert [text[a:b] for a, b, k in scan_text(text) if k == "literal"] == ["Zx81-qq7!Lm2"]
+
+
+def test_no_secrets_from_forms_of_other_names():
+    for text in ("title: str = 'Zx81-qq7!Lm2'\ndef f(pwd: str):", "$title = 'Zx81-qq7!Lm2';", "x['title'] = 'Zx81-qq7!Lm2'"):
+        assert scan_text(text) == []
