@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import format_conversations, read_back
 from .common import read
 from .decontaminate import contaminations
+from .hard_negatives import hard_negatives
 from .langid import identify_languages
 from .line_dedup import dedup_lines
 from .minhash import near_duplicates
+from .mixing import mix_sources
+from .periodic_runs import periodic_runs
 from .quality import quality
 from .secret_scan import scan_secrets
 from .sentencepiece import encode_texts
@@ -66,6 +69,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(probe)))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(read(spark, sf_dir, "documents"), planted=True)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_line_dedup,
@@ -78,5 +93,8 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_secret_scan,
         op10_chat_format,
+        op11_mixing,
+        op12_periodic_runs,
+        op13_hard_negatives,
     )
 }

@@ -73,8 +73,29 @@ _LINE_DEDUP = """
              coalesce(string_agg(v.line, chr(10) ORDER BY v.no) FILTER (NOT v.exact AND NOT v.near), '') END AS text
     FROM documents d LEFT JOIN v USING (doc_id) GROUP BY doc_id"""
 
+# Every anchor's score with every row, by components.
+_HARD_NEGATIVES = """
+    WITH q AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                      [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+               FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    r AS (SELECT *, row_number() OVER () AS k FROM q),
+    c AS (SELECT k, generate_subscripts(v, 1) AS d, unnest(v) AS x FROM r),
+    a AS (SELECT * FROM r WHERE vec_id % 50 = 0),
+    o AS (SELECT e.k AS ak, f.k AS k, CAST(sum(e.x * f.x) AS BIGINT) AS s
+          FROM c e JOIN a ON a.k = e.k JOIN c f ON f.d = e.d GROUP BY 1, 2),
+    s AS (SELECT a.k AS ak, a.vec_id AS anchor_id, b.k, b.vec_id, a.label = b.label AS same, coalesce(o.s, 0) AS s
+          FROM a JOIN r b ON a.k <> b.k LEFT JOIN o ON o.ak = a.k AND o.k = b.k),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ak ORDER BY s DESC, vec_id, k) <= 5),
+    n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.s AS positive_score, s.vec_id AS negative_id, s.s AS negative_score,
+                 row_number() OVER (PARTITION BY p.ak, p.k ORDER BY s.s DESC, s.vec_id, s.k) AS rank
+          FROM p JOIN s ON s.ak = p.ak AND NOT s.same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": _LINE_DEDUP,
     "op4_minhash_near_dedup": _NEAR,
     "op5_decontamination": _LEAKS,
+    "op13_hard_negatives": _HARD_NEGATIVES,
 }

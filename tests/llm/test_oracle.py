@@ -19,5 +19,5 @@ def test_query_matches_sql(spark, name):
 
 def test_registry():
     names = set(entry.queries())
-    assert {*QUERIES, "pipeline"} <= names and {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {*QUERIES, "pipeline"} <= names and {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(ORACLE_SQL) <= set(QUERIES) and set(entry.oracle_sql()) <= names
