@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import dense_index
+from .ranking import cut_lists
 
 # Most in-edges that one reverse-adjacency row holds, for every node.
 ADJACENCY_ROW = 4096
@@ -33,18 +33,13 @@ def reverse_adjacency(edges: DataFrame, row_limit: int = ADJACENCY_ROW) -> DataF
     """In-neighbour lists: ``node LONG, part LONG, in_degree LONG,
     in_edges ARRAY<STRUCT<src LONG, dist DOUBLE>>``.
 
-    Parallel edges are reduced to the shortest first.  The reduced edges are
-    numbered in the order (dst, src) across the table and cut every
-    ``row_limit`` places, so a row holds consecutive in-neighbours of one node
-    and at most ``row_limit`` of them, whatever the ids; ``part`` counts a node's
-    rows from 0.  Lists are collected per (node, cut): no task gathers a hub.
+    Parallel edges are reduced to the shortest first.  A row holds consecutive
+    in-neighbours of one node and at most ``row_limit`` of them, whatever the ids;
+    ``part`` counts a node's rows from 0.  Lists are collected and shuffled per
+    (node, cut) alone (:func:`cut_lists`): no task gathers a hub.
     """
     if row_limit < 1:
         raise ValueError("row_limit must be positive")
-    ranked = dense_index(min_edges(edges), "dst", "src", name="rank").withColumn(
-        "cut", F.floor(F.col("rank") / F.lit(row_limit)).cast("long"))
-    lists = ranked.groupBy("dst", "cut").agg(F.sort_array(F.collect_list(F.struct("src", "dist"))).alias("in_edges"))
-    nodes = ranked.groupBy(F.col("dst").alias("node")).agg(
-        F.count(F.lit(1)).alias("in_degree"), F.min("cut").alias("first"))
-    return lists.join(nodes, F.col("dst").eqNullSafe(F.col("node"))).select(
-        "node", (F.col("cut") - F.col("first")).alias("part"), "in_degree", "in_edges")
+    lists = cut_lists(min_edges(edges), "dst", "src", name="in_edges", row_limit=row_limit,
+                      entries=F.sort_array(F.collect_list(F.struct("src", "dist"))))
+    return lists.select(F.col("dst").alias("node"), "part", F.col("degree").alias("in_degree"), "in_edges")

@@ -8,13 +8,13 @@ chunks so that the quadratic pair expansion of one line spreads over tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
 from ..functions.text import split_lines, tokenize
 from ..session import reliable_checkpoint
-from .ranking import dense_index
+from .ranking import cut_lists, dense_index, split_lookup
 
 # First-term positions handled per task-level chunk of a long context.  A chunk
 # carries the context from its first position on, so a context of n terms ships
@@ -89,9 +89,11 @@ def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataF
 def _encode(weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Dictionary-encode contexts: ``(terms ARRAY<LONG>, w)`` per context and
     the vocabulary ``(term, id)``, ids dense in byte order of the terms."""
-    vocab = dense_index(explode_rows(weighted, "terms", "term").distinct(), "term", name="id")
+    counts = explode_rows(weighted, "terms", "term").groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+    counted = reliable_checkpoint(dense_index(counts, "term", name="id"))
+    vocab = counted.select("term", "id")
     lines = weighted.withColumn("lid", F.monotonically_increasing_id())
-    occ = explode_rows(lines, "terms", "term", "lid", "w", pos="pos").join(vocab, "term")
+    occ = split_lookup(explode_rows(lines, "terms", "term", "lid", "w", pos="pos"), counted, "term", "rows")
     enc = occ.groupBy("lid").agg(
         F.first("w").alias("w"), F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("e"))
     return enc.select(F.transform("e", lambda x: x["id"]).alias("terms"), "w"), vocab
@@ -131,13 +133,48 @@ def stripes_from_pairs(pairs: DataFrame, row_limit: int = STRIPE_ROW) -> DataFra
     places: a row holds consecutive second terms of one first term, at most
     ``row_limit`` of them, and ``part`` counts a term's rows from 0.
     """
-    ranked = dense_index(pairs.select("term1", "term2", "n"), "term1", "term2", name="rank").withColumn(
-        "cut", F.floor(F.col("rank") / F.lit(row_limit)).cast("long"))
-    maps = ranked.groupBy("term1", "cut").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("term2", "n")))).alias("stripe"))
-    first = ranked.groupBy(F.col("term1").alias("of")).agg(F.min("cut").alias("first"))
-    return maps.join(first, F.col("term1") == F.col("of")).select(
-        "term1", (F.col("cut") - F.col("first")).alias("part"), "stripe")
+    lists = cut_lists(pairs.select("term1", "term2", "n"), "term1", "term2", name="stripe", row_limit=row_limit,
+                      entries=F.map_from_entries(F.sort_array(F.collect_list(F.struct("term2", "n")))))
+    return lists.select("term1", "part", "stripe")
+
+
+def merge_stripes(stripes: DataFrame, more: DataFrame, row_limit: int = STRIPE_ROW) -> DataFrame:
+    """Stripes of two inputs as those of both: ``term1, part, stripe`` with the counts added.
+
+    Nothing goes back to pairs.  The first keys of both tables' rows cut a term's second
+    terms into ranges, of which a row of either table covers some whole ones; so a range
+    meets at most one piece of each table, and their maps are added.  The ranges'
+    sizes, a narrow table, say which places a range takes among its term's; pieces are
+    cut at the multiples of ``row_limit`` and put together again, so every row but a
+    term's last holds ``row_limit`` second terms.
+    """
+    tables = [t.select("term1", "part", "stripe") for t in (stripes, more)]
+    starts = tables[0].unionByName(tables[1]).select("term1", F.map_keys("stripe")[0].alias("s")).groupBy("term1").agg(
+        F.sort_array(F.collect_set("s")).alias("starts"))
+    pieces = None
+    for t in tables:
+        # narrow: the ranges that a row covers
+        covers = t.select("term1", "part", F.map_keys("stripe")[0].alias("lo"), F.element_at(F.map_keys("stripe"), -1).alias("hi")).join(starts, "term1")
+        before = lambda x: F.size(F.filter("starts", lambda s: s <= F.col(x)))
+        ranges = covers.select("term1", "part", "starts", F.explode(F.sequence(before("lo") - 1, before("hi") - 1)).alias("range")).select(
+            "term1", "part", "range", F.get("starts", F.col("range")).alias("lo"), F.get("starts", F.col("range") + 1).alias("hi"))
+        cut = t.join(ranges, ["term1", "part"]).select("term1", "range", F.map_filter(
+            "stripe", lambda k, v: (k >= F.col("lo")) & (F.col("hi").isNull() | (k < F.col("hi")))).alias("m"))
+        pieces = cut if pieces is None else pieces.unionByName(cut)
+    add = lambda a, b: F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
+    merged = reliable_checkpoint(pieces.groupBy("term1", "range").agg(F.collect_list("m").alias("ms")).select(
+        "term1", "range", F.sort_array(F.map_entries(F.aggregate("ms", empty, add))).alias("e")))
+    sizes = merged.select("term1", "range", F.size("e").alias("size"))
+    offset = F.sum("size").over(Window.partitionBy("term1").orderBy("range")) - F.col("size")
+    placed = merged.join(sizes.select("term1", "range", offset.cast("long").alias("at")), ["term1", "range"])
+    limit, at = F.lit(row_limit), F.col("at")
+    parts = F.sequence(F.floor(at / limit).cast("long"), F.floor((at + F.size("e") - 1) / limit).cast("long"))
+    chunks = placed.select("term1", "range", "at", "e", F.explode(parts).alias("part")).select("term1", "part", "range", F.slice(
+        "e", (F.greatest(at, F.col("part") * limit) - at + 1).cast("int"),
+        (F.least(at + F.size("e"), (F.col("part") + 1) * limit) - F.greatest(at, F.col("part") * limit)).cast("int")).alias("e"))
+    rows = chunks.groupBy("term1", "part").agg(F.sort_array(F.collect_list(F.struct("range", "e"))).alias("c"))
+    return rows.select("term1", "part", F.map_from_entries(F.flatten(F.transform("c", lambda c: c["e"]))).alias("stripe"))
 
 
 def cooccurrence_stripes(df: DataFrame, col: str = "text", context: str = "line",

@@ -24,6 +24,7 @@ TARGET = 1          # shortest-path target node (a part key)
 T_DOCS = 0.8        # similarity threshold over documents
 T_LOW = 0.1         # similarity threshold over benchmark items
 STRIPE_PART = 8     # second terms in a row of the flattened stripes
+STRIPE_MERGE = 4096  # second terms in a row of the merged stripes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,15 @@ def cooccurrence_stripes(spark, sf):
     return s.groupBy("term1").agg(F.sum(F.size("stripe")).cast("int").alias("n_terms"), F.sum(total).alias("n_total"))
 
 
+def cooccurrence_stripes_merged(spark, sf):
+    # the stripes of each half of the conversations, merged
+    rows = table(spark, sf, "conversations")
+    odd = F.coalesce(F.col("conv_id"), F.lit(0)) % 2 != 0
+    halves = [reliable_checkpoint(text.cooccurrence_stripes(half, "text", context="line", row_limit=STRIPE_MERGE))
+              for half in (rows.where(odd), rows.where(~odd))]
+    return text.flatten_stripes(text.merge_stripes(*halves, row_limit=STRIPE_MERGE))
+
+
 def cooccurrence_stripes_flat(spark, sf):
     return text.flatten_stripes(text.cooccurrence_stripes(
         table(spark, sf, "benchmark"), "text", context="row", row_limit=STRIPE_PART))
@@ -197,6 +207,7 @@ QUERIES: dict[str, Query] = {
     "set_similarity_low": set_similarity_low,
     "pair_lines": pair_lines,
     "cooccurrence_stripes_flat": cooccurrence_stripes_flat,
+    "cooccurrence_stripes_merged": cooccurrence_stripes_merged,
     "word_count_lines": word_count_lines,
     "cooccurrence_lines": cooccurrence_lines,
     "path_lines": path_lines,

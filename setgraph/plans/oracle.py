@@ -125,6 +125,8 @@ ORACLE_SQL: dict[str, str] = {
     FROM pairs GROUP BY term1""",
 
     "cooccurrence_stripes_flat": _PAIRS_PER_ITEM,
+    "cooccurrence_stripes_merged": _pairs_per_line("conversations") + """
+    SELECT term1, term2, n FROM pairs""",
     "cooccurrence_lines": f"""
     SELECT term1 || ' ' || term2 || chr(9) || CAST(n AS VARCHAR) AS line FROM ({_PAIRS_PER_ITEM})""",
     "word_count_lines": f"""

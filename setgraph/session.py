@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # sides laid out by some of the join keys are joined as they are
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
