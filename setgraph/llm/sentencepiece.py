@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -131,56 +133,50 @@ def _skipped(key: np.ndarray, place: np.ndarray, piece: np.ndarray, limit: np.ui
 
 
 def _short_words(v: Vocabulary, symbols: np.ndarray, key: np.ndarray, limit: np.uint64,
-                 took: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Merge words of one length (rows of ``symbols``).  Returns (rows, symbols) of
-    words that end with equally many symbols; ``took`` gets (rows, places, pieces) of
-    each round's merges."""
+                 took: list | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Merge words of one length (rows of ``symbols``).  Yields (rows, symbols) of words
+    that are done, their symbols at the places where they start and -1 elsewhere;
+    ``took`` gets (rows, places, pieces) of each round's merges.
+
+    A symbol stays at its place and knows its neighbours' (linked lists in two tables), so a
+    merge changes three candidates and moves nothing."""
     rows, (w, n) = np.arange(len(symbols)), symbols.shape
-    piece = v.merged(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()).reshape(w, n - 1) if n > 1 else np.empty((w, 0), np.int32)
+    if n == 1:
+        yield rows, symbols
+        return
+    piece = np.full((w, n), -1, dtype=np.int32)     # the candidate at a place: with the next symbol
+    piece[:, :-1] = v.merged(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()).reshape(w, n - 1)
     rank = v.rank_of(piece)
-    start = np.broadcast_to(np.arange(n, dtype=np.int32), (w, n)).copy()
-    length = np.full(w, n)
-    out = []
-    while len(rows) and n > 1:
+    after = np.broadcast_to(np.arange(1, n + 1), (w, n)).copy()
+    before = np.broadcast_to(np.arange(-1, n - 1), (w, n)).copy()
+    while len(rows):
         best = rank.argmin(axis=1)
-        at = np.arange(len(rows))
-        open_ = rank[at, best] < _NONE
-        if not open_.all():
-            out.append((rows[~open_], symbols[~open_], length[~open_]))
-            rows, symbols, piece, rank, start, key, best, length = (
-                x[open_] for x in (rows, symbols, piece, rank, start, key, best, length))
-            at = np.arange(len(rows))
-            if not len(rows):
-                break
-        new = piece[at, best]
-        skip = _skipped(key, start[at, best], new, limit)
-        rank[at[skip], best[skip]] = _NONE
-        m = at[~skip]
-        if not len(m):
-            continue
-        b, made = best[m], new[~skip]
+        m = np.flatnonzero(rank[np.arange(len(rows)), best] < _NONE)
+        if len(m) <= 0.7 * len(rows):       # the others are done
+            done = np.ones(len(rows), dtype=bool)
+            done[m] = False
+            yield rows[done], symbols[done]
+            rows, symbols, piece, rank, after, before, key, best = (x[m] for x in (rows, symbols, piece, rank, after, before, key, best))
+            m = np.arange(len(rows))
+        b = best[m]
+        new = piece[m, b]
+        skip = _skipped(key[m], b, new, limit)
+        rank[m[skip], b[skip]] = _NONE
+        m, b, new = m[~skip], b[~skip], new[~skip]
         if took is not None:
-            took.append((rows[m], start[m, b], made))
-        shift = lambda x, after: np.take_along_axis(
-            x[m], np.minimum(np.arange(x.shape[1]) + (np.arange(x.shape[1]) > after[:, None]), x.shape[1] - 1), axis=1)
-        s, st, p, r = shift(symbols, b), shift(start, b), shift(piece, b), shift(rank, b)
-        k = np.arange(len(m))
-        s[k, b] = made
-        length[m] -= 1
-        p[:, -1], r[:, -1] = -1, _NONE
-        s[:, -1] = -1
-        left = np.flatnonzero(b > 0)
-        p[left, b[left] - 1] = v.merged(s[left, b[left] - 1], made[left])
-        r[left, b[left] - 1] = v.rank_of(p[left, b[left] - 1])
-        inner = b + 1 < length[m]
-        right, last = np.flatnonzero(inner), np.flatnonzero(~inner & (b < p.shape[1]))
-        p[right, b[right]] = v.merged(made[right], s[right, b[right] + 1])
-        r[right, b[right]] = v.rank_of(p[right, b[right]])
-        r[last, b[last]] = _NONE
-        symbols[m], start[m], piece[m], rank[m] = s, st, p, r
-    if len(rows):
-        out.append((rows, symbols, length))
-    return out
+            took.append((rows[m], b, new))
+        gone = after[m, b]
+        right = after[m, gone]
+        symbols[m, b], symbols[m, gone], rank[m, gone] = new, -1, _NONE
+        after[m, b] = right
+        r, left = np.flatnonzero(right < n), before[m, b]
+        before[m[r], right[r]] = b[r]
+        pair = np.full(len(m), -1, dtype=np.int32)
+        pair[r] = v.merged(new[r], symbols[m[r], right[r]])
+        piece[m, b], rank[m, b] = pair, v.rank_of(pair)
+        r = np.flatnonzero(left >= 0)
+        pair = v.merged(symbols[m[r], left[r]], new[r])
+        piece[m[r], left[r]], rank[m[r], left[r]] = pair, v.rank_of(pair)
 
 
 def _long_word(v: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: np.uint64, took: list | None = None) -> list[int]:
@@ -253,10 +249,10 @@ class Encoder:
         return [p[0] if len(p) == 1 else np.concatenate(p) if p else np.empty(0, np.int32) for p in parts]
 
     def _block(self, block: list[tuple[int, int, int, str]]) -> list[np.ndarray]:
-        number: dict[str, int] = {}
+        number: defaultdict[str, int] = defaultdict(count().__next__)
         found = [_WORD.findall(part) for *_, part in block]
         sizes = np.array([len(f) for f in found])
-        coded = np.fromiter((number.setdefault(w, len(number)) for f in found for w in f), dtype=np.int64, count=int(sizes.sum()))
+        coded = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), dtype=np.int64, count=int(sizes.sum()))
         ends = np.cumsum(sizes)
         place = np.arange(len(coded)) - np.repeat(ends - sizes, sizes) + np.repeat([first for _, _, first, _ in block], sizes)
         own = np.repeat(np.array([key & (2 ** 64 - 1) for _, key, _, _ in block], dtype=np.uint64), sizes)
@@ -281,15 +277,15 @@ class Encoder:
 
     def _skips(self, word: np.ndarray, key: np.ndarray, owner: np.ndarray, at: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether the keyed hash drops one of the merges that an occurrence's word has without skips."""
-        count = np.bincount(owner, minlength=int(word.max(initial=-1)) + 1)
-        begin = np.cumsum(count) - count
+        merges = np.bincount(owner, minlength=int(word.max(initial=-1)) + 1)
+        begin = np.cumsum(merges) - merges
         out = np.zeros(len(word), dtype=bool)
-        todo, k = np.flatnonzero(count[word] > 0), 0
+        todo, k = np.flatnonzero(merges[word] > 0), 0
         while len(todo):  # the k-th merge of all occurrences that have one and no skip yet
             row = begin[word[todo]] + k
             out[todo] = _skipped(key[todo], at[row], piece[row], self.limit)
             k += 1
-            todo = todo[~out[todo] & (count[word[todo]] > k)]
+            todo = todo[~out[todo] & (merges[word[todo]] > k)]
         return out
 
     def _kinds(self, words: list[str], word: np.ndarray, key: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, tuple | None]:
@@ -315,10 +311,9 @@ class Encoder:
                     values.append(made)
                 continue
             took = None if merges is None else []
-            for rows, made, left in _short_words(v, table.copy(), key[at], limit, took):
-                used = np.arange(made.shape[1]) < left[:, None]
-                owner.append(np.repeat(at[rows], left))
-                values.append(made[used])
+            for rows, made in _short_words(v, table, key[at], limit, took):
+                owner.append(np.repeat(at[rows], (made >= 0).sum(axis=1)))
+                values.append(made[made >= 0])
             if took:
                 merges += [(at[rows], places, pieces) for rows, places, pieces in took]
         if merges is not None:
