@@ -87,6 +87,31 @@ def materialise(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
+# Most bits of a key filter; its words, at most a 64th of these rows, are broadcast.
+FILTER_BITS = 1 << 26
+
+
+def key_filter(keys: DataFrame, *key: str) -> tuple[DataFrame, int]:
+    """A bitmap of the hashes of ``keys``' keys, ``word_no, word``, and its size: 16 bits a
+    row (so few others pass), up to ``FILTER_BITS``.  ``keys`` is read twice."""
+    rows = keys.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    bits = min(FILTER_BITS, max(1 << 12, 1 << (16 * rows).bit_length()))
+    at = F.pmod(F.xxhash64(*key), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    return keys.groupBy(F.floor(at / 64).cast("int").alias("word_no")).agg(F.bit_or(bit).alias("word")), bits
+
+
+def may_hold(df: DataFrame, key: list[Column], words: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``df`` whose key may be among those of a :func:`key_filter`: all that
+    are, and few others.  The join that follows is exact; this only keeps rows out of
+    its shuffle."""
+    at = F.pmod(F.xxhash64(*key), F.lit(bits))
+    rows = df.withColumn(fresh(df, "_at"), at)
+    there = rows[rows.columns[-1]]
+    return rows.join(F.broadcast(words), (F.floor(there / 64).cast("int") == words["word_no"])
+                     & (F.getbit(words["word"], (there % 64).cast("int")) == 1), "left_semi").select(*df.columns)
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, filled on demand and emptied when large."""
 

@@ -234,7 +234,7 @@ def _settle(base: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group: that of the least id, known ones first, and
     of texts under one id that of the least hash.  Rows that repeat an id and text are
-    one document, of which the least row stays, also where it has no words."""
+    one document, of which the row of the least hash stays, also where it has no words."""
     base = materialise(sketches(docs, marked=True))
     _, roots = _linked(docs, base)
     # NULL ids by a flag, so that the joins are plain ones
@@ -242,9 +242,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     least = base.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct(*place)).alias("least"))
     least = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
     kept = least.select("least.*").unionByName(base.where(F.col("node").isNull()).select(*place).distinct())
-    # repeated rows meet in a partial aggregation before they are moved
+    # repeated rows meet in a partial aggregation before they are moved; which of them stays is
+    # told by a hash of their other columns, whatever their types
     row = F.struct(*[F.col(c) for c in docs.columns if c != "text"], F.col("text"))
+    others = F.to_json(F.struct(F.lit(0).alias("none"), *[F.col(c) for c in docs.columns if c != "text"]))
     d = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
-                    F.xxhash64(F.col("text").cast("string")).alias("mark"), row.alias("row"))
-    d = d.groupBy("no_id", "id", "mark").agg(F.min("row").alias("row"))
+                    F.xxhash64(F.col("text").cast("string")).alias("mark"), row.alias("row"), F.xxhash64(others).alias("which"))
+    d = d.groupBy("no_id", "id", "mark").agg(F.min_by("row", "which").alias("row"))
     return d.join(kept, ["no_id", "id", "mark"], "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -44,17 +44,19 @@ _LEAKS = f"""
            CAST(n_shared AS DOUBLE) / CAST(n_item AS DOUBLE) AS containment
     FROM k JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item"""
 
-# Lines of 24 characters or more.  One edit leaves the first or the last ten
+# Near repeats are of 24 characters or more; blank lines stay.  One edit leaves the first or the last ten
 # characters as they are; candidates are compared character by character.
 _LINE_DEDUP = """
     WITH l AS MATERIALIZED (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
     f AS MATERIALIZED (
-        SELECT line, length(line) AS n, min(row(doc_id, no)) AS place FROM l WHERE length(line) >= 24 GROUP BY 1),
-    c AS (SELECT a.line AS a, b.line AS b FROM f a JOIN f b ON left(a.line, 10) = left(b.line, 10)
+        SELECT line, length(line) AS n, min(row(doc_id, no)) AS place FROM l
+        WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '' GROUP BY 1),
+    g AS (SELECT * FROM f WHERE n >= 24),
+    c AS (SELECT a.line AS a, b.line AS b FROM g a JOIN g b ON left(a.line, 10) = left(b.line, 10)
             AND abs(a.n - b.n) <= 1 AND b.place < a.place
-          UNION SELECT a.line, b.line FROM f a JOIN f b ON right(a.line, 10) = right(b.line, 10)
+          UNION SELECT a.line, b.line FROM g a JOIN g b ON right(a.line, 10) = right(b.line, 10)
             AND abs(a.n - b.n) <= 1 AND b.place < a.place),
     near AS (
         SELECT DISTINCT a AS line FROM c WHERE CASE

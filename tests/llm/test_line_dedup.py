@@ -16,13 +16,14 @@ def within_one(a: str, b: str) -> bool:
     return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
 
 
-def brute(docs: dict, least: int):
+def brute(docs: dict, least: int = 24):
     places = sorted((i, no, line) for i, t in docs.items() if t is not None for no, line in enumerate(t.split("\n")))
     first: dict[str, tuple] = {}
     for i, no, line in places:
-        if len(line) >= least:
+        if line.strip(" \t\r\x0b\x0c"):
             first.setdefault(line, (i, no))
-    near = {x for x in first for y in first if first[y] < first[x] and x != y and within_one(x, y)}
+    long = [x for x in first if len(x) >= least]
+    near = {x for x in long for y in long if first[y] < first[x] and x != y and within_one(x, y)}
     out = []
     for i, t in docs.items():
         if t is None:
@@ -30,7 +31,7 @@ def brute(docs: dict, least: int):
             continue
         stay, exact, close = [], 0, 0
         for no, line in enumerate(t.split("\n")):
-            if len(line) < least:
+            if line not in first:
                 stay.append(line)
             elif first[line] != (i, no):
                 exact += 1
@@ -81,7 +82,9 @@ def test_odd_rows(spark, odd, none):
     assert got[10][2:] == (2, 0, "")  # its second line stands at the null id, which is first
     assert dedup_lines(odd).count() == odd.count() and dedup_lines(none).count() == 0
     kept = drop_repeated_lines(odd)
-    assert kept.columns == odd.columns and kept.schema == odd.schema and kept.count() == odd.count()
+    assert kept.columns == odd.columns and kept.schema == odd.schema
+    # the repeats of row 1 and the lines of the NULL id go; what had no words stays
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [1, 3, 4, 5, 6, 7, 8, 9, 11]
     assert drop_repeated_lines(none).count() == 0
 
 
@@ -92,5 +95,5 @@ def test_no_python_in_the_plan(spark, odd):
 
 def test_counts_characters_anew(spark):
     t = prose(5, 9)
-    df = spark.createDataFrame([(1, t, 99), (2, f"{t}\nend", 98), (3, "end", 97)], "doc_id long, text string, n_chars long")
-    assert plain(drop_repeated_lines(df)) == [(1, t, 99), (2, "end", 3), (3, "end", 97)]
+    df = spark.createDataFrame([(1, t, 99), (2, f"{t}\nend", 98), (3, "end", 97), (4, "fin", 96)], "doc_id long, text string, n_chars long")
+    assert plain(drop_repeated_lines(df)) == [(1, t, 99), (2, "end", 3), (4, "fin", 96)]

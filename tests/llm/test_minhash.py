@@ -115,3 +115,10 @@ def test_shingles_of_short_texts():
     assert len(shingles(None)) == len(shingles("")) == len(shingles(" \x0b\t")) == 0
     assert len(shingles("a b")) == 1 and (shingles("A b") == shingles("a\x0cb")).all() and (shingles("a b") != shingles("b a")).all()
     assert len(shingles("a b c d e a b c d e")) == 5 and len(shingles("a b c d e f")) == 1
+
+
+def test_stage_keeps_rows_with_map_columns(spark):
+    t = prose(1, 40)
+    df = spark.createDataFrame([(1, t, {"a": 1}), (1, t, {"a": 2}), (2, t, {}), (3, prose(2, 40), None)], "doc_id long, text string, m map<string,int>")
+    got = drop_near_duplicates(df)
+    assert sorted(r["doc_id"] for r in got.collect()) == [1, 3] and got.columns == df.columns

@@ -10,6 +10,7 @@ from sentencepiece import SentencePieceProcessor
 import corpus_pipeline
 from setgraph.llm import langid
 from setgraph.llm import sentencepiece as pieces
+from setgraph.llm.minhash import near_duplicates
 from setgraph.llm.langid import fit, identify_languages, keep_identified, label_words, marginals
 from setgraph.llm.sharding import difference, shard_by_bytes
 from setgraph.llm.toxicity import fit as fit_toxicity
@@ -202,6 +203,14 @@ def test_pipeline(spark):
             assert out.columns == docs.columns, name
         now = out.checkpoint()
         sizes.append(now.count())
-    assert sizes[0] <= docs.count() and sizes[1] == sizes[0] and sizes[2] <= sizes[1] and sizes[3] < sizes[2] and sizes[4] == sizes[3]
+    assert sizes[0] <= docs.count() and sizes[1] <= sizes[0] and sizes[2] <= sizes[1] and sizes[3] < sizes[2] and sizes[4] == sizes[3]
     assert now.where("NOT lossless").count() == 0
+    # no row is left whose lines all stand elsewhere, and no whole copy: of a near copy only lines of its own
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    left = {r["doc_id"]: r["n_pieces"] for r in now.collect()}
+    copies = [r["doc_id"] for r in near_duplicates(docs).where("NOT kept").collect()]
+    assert copies and all(left[i] or not (text.get(i) or "").strip() for i in left)
+    seen = {line for i, t in text.items() if i not in copies and t for line in t.split("\n")}
+    for i in copies:
+        assert i not in left or any(line.strip() and line not in seen for line in text[i].split("\n"))
     assert plain(corpus_pipeline.run(spark, SF)) == plain(now)
