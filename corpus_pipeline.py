@@ -7,8 +7,7 @@ read again.  All stages but the last return the columns of ``documents``.
 
 * language_id: texts without a letter, and texts whose words have a best language of a
   mean probability below one half, go; texts of several languages stay.
-* line_dedup: repeated lines are cut out of the texts, short ones too where they are
-  exact repeats; no row goes.
+* line_dedup: repeated lines are cut out of the texts; a text that has no words left goes.
 * near_dedup: of each group of near-duplicates one row stays, that of the least id.
 * decontaminate: rows that hold a benchmark item go.
 * tokenize: the piece numbers of every text, checked to decode to it again.
@@ -36,7 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return drop_repeated_lines(docs, short_exact=True)
+    return drop_repeated_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
