@@ -6,14 +6,20 @@ round shuffles only the frontier.  Each round:
 
     frontier  x  edges(dst = frontier node)     -> candidate (d + w, h + 1, via)
     candidates  -> min per node                 (partial aggregate, map side)
-    state  full outer join  best                -> improved nodes = next frontier
+    best  x  base, deltas (same partitioning)   -> improved nodes = this round's delta
+
+The state is a base table of all nodes and one delta per round, so what a round
+writes follows the nodes that it improves.  Many deltas are merged to one, and the
+base is written anew when the deltas have half its rows.  With a distance bucket only
+the improved nodes of the nearest bucket are relaxed, the others wait.  With a
+state folder every round is durable: a new driver goes on after the last one.
 
 The state keeps, per node, the lexicographically least ``(dist, hops, next)``
 over all paths to the target, which makes ties deterministic and keeps the
 ``next`` pointers acyclic even with zero-weight cycles.  Paths are assembled
 by pointer jumping: ``ceil(log2(max_hops + 1))`` self-joins instead of one
 join per hop.  Lineage is cut by reliable checkpoints in the session's
-checkpoint folder after every round.
+checkpoint folder.
 """
 
 from __future__ import annotations
@@ -21,11 +27,13 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import in_session, partitioned_checkpoint, static_session
 from ..session import reliable_checkpoint as _checkpoint
+from .ranking import HOT_KEYS
 
 # In-edges per salt bucket of a node.  A hub with d in-edges is split into
 # ceil(d / SALT_EDGES) buckets, each joined by its own task; its frontier row
@@ -62,92 +70,222 @@ def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataF
     return e.drop("salts"), e.groupBy(F.col("dst").alias("node")).agg(F.max("salts").alias("salts"))
 
 
-def _relax(state: DataFrame, e: DataFrame) -> DataFrame:
-    """One Bellman-Ford round: relax the in-edges of the nodes improved last round."""
-    frontier = state.where("upd").select(
-        F.col("node").alias("v"), F.col("c").alias("vc"),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("vsalt"))
+# Most deltas of the state; beyond, they are merged to one.
+DELTAS = 8
+
+
+def _candidates(frontier: DataFrame, e: DataFrame) -> DataFrame:
+    """``node, nc``: the best way to each node over one edge into the frontier."""
+    f = frontier.select(F.col("node").alias("v"), F.col("c").alias("vc"),
+                        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("vsalt"))
     # hash joins built from the small sides (frontier, best candidates: at most
     # one row per node and salt) stream the edges and the state without
     # sorting them
-    cand = e.join(frontier.hint("shuffle_hash"),
-                  (frontier.v == e.dst) & (frontier.vsalt == e.salt)).select(
+    cand = e.join(f.hint("shuffle_hash"), (f.v == e.dst) & (f.vsalt == e.salt)).select(
         F.col("src").alias("node"),
         # distance accumulates target-outward: dist(next) + w
         F.struct((F.col("vc.d") + F.col("w")).alias("d"), (F.col("vc.h") + 1).alias("h"),
                  F.col("v").alias("nx")).alias("nc"))
-    best = cand.groupBy("node").agg(F.min("nc").alias("nc"))
-    m = state.drop("upd").join(best.hint("shuffle_hash"), "node", "left")
-    upd = F.col("nc").isNotNull() & (F.col("c").isNull() | (F.col("nc") < F.col("c")))
-    # the left join keeps the state hash-partitioned by node; edges stay
-    # partitioned by (dst, salt): a round shuffles only the frontier and the
-    # partially aggregated candidates
-    return m.select("node", F.when(upd, F.col("nc")).otherwise(F.col("c")).alias("c"), "salts",
-                    upd.alias("upd"))
-
-
-def shortest_distances(edges: DataFrame, target: int,
-                       salt_edges: int = SALT_EDGES, rounds_per_job: int = 2) -> DataFrame:
+    return cand.groupBy("node").agg(F.min("nc").alias("nc"))
+
+
+def _latest(base: DataFrame, deltas: list[DataFrame]) -> DataFrame:
+    """``node, c, salts`` with the latest value of each node of ``base``; the deltas are joined
+    where they lie."""
+    out = base
+    for k, delta in enumerate(deltas):
+        out = out.join(delta.select("node", F.col("c").alias(f"c{k}")).hint("shuffle_hash"), "node", "left")
+    names = [f"c{k}" for k in reversed(range(len(deltas)))] + ["c"]
+    others = [c for c in base.columns if c not in ("node", "c", "salts")]
+    return out.select("node", F.coalesce(*names).alias("c"), "salts", *others)
+
+
+def _relax(base: DataFrame, deltas: list[DataFrame], frontier: DataFrame, e: DataFrame) -> DataFrame:
+    """One round: ``node, c, salts`` of the nodes that the frontier improves.
+
+    A round shuffles the frontier and the partially aggregated candidates; edges
+    stay partitioned by (dst, salt), base and deltas by node."""
+    best = _candidates(frontier, e)
+    at = _latest(base.join(best.hint("shuffle_hash"), "node"), deltas)
+    better = at.where(F.col("c").isNull() | (F.col("nc") < F.col("c")))
+    return better.select("node", F.col("nc").alias("c"), "salts")
+
+
+class _Rounds:
+    """Tables of a run in a shared folder: what a round made, and a manifest row that is
+    written after it.  Tables without a manifest row are those of a driver that was
+    lost; they are overwritten."""
+
+    MANIFEST = "round long, target long, base string, deltas array<string>, waiting string, base_rows long, delta_rows long, nearest double, open long"
+
+    def __init__(self, session: SparkSession, folder: str, target: int):
+        self.session, self.folder, self.target = session, folder.rstrip("/"), target
+
+    def last(self):
+        """The manifest row of the last whole round, None if there is none."""
+        try:
+            rows = self.session.read.schema(self.MANIFEST).json(f"{self.folder}/manifest/*")
+            row = rows.orderBy(F.col("round").desc()).first()
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return None
+        if row is not None and row["target"] != self.target:
+            raise ValueError(f"{self.folder} holds rounds for target {row['target']}, not {self.target}")
+        return row
+
+    def save(self, name: str, df: DataFrame) -> str:
+        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        return name
+
+    def load(self, name: str, *keys: str) -> DataFrame:
+        """A table, laid out by its keys again."""
+        n = int(self.session.conf.get("spark.sql.shuffle.partitions"))
+        return partitioned_checkpoint(self.session.read.parquet(f"{self.folder}/{name}").repartition(n, *keys))
+
+    def commit(self, **row: object) -> None:
+        row = {"target": self.target, **row}
+        names = [f.split()[0] for f in self.MANIFEST.split(", ")]
+        self.session.createDataFrame([tuple(row[n] for n in names)], self.MANIFEST).coalesce(1).write.mode("overwrite").json(
+            f"{self.folder}/manifest/{row['round']:06d}")
+
+
+def shortest_distances(edges: DataFrame, target: int, salt_edges: int = SALT_EDGES,
+                       bucket: float | None = None, state_dir: str | None = None) -> DataFrame:
     """``node LONG, c STRUCT<d DOUBLE, h INT, nx LONG>`` for every node that reaches
-    ``target``; ``d`` is the distance, ``h`` the hop count, ``nx`` the next node."""
+    ``target``; ``d`` is the distance, ``h`` the hop count, ``nx`` the next node.
+
+    ``bucket`` is the width of the distance buckets that are relaxed one after the other
+    (none: every improved node at once).  ``state_dir``, a folder on shared storage, keeps
+    every round; a call on the same folder goes on from the last whole one."""
     spark = edges.sparkSession
-    e, salts = prepare_edges(edges, salt_edges)
+    own = static_session(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the state holds every node from the start (unreached: c = NULL), so each
-    # round updates it with a left join that keeps its hash partitioning by node
-    nodes = e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
-    is_target = F.col("node") == F.lit(target)
-    # the target starts at 0 only if some edge ends there
-    start = is_target & F.col("salts").isNotNull()
-    zero = F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("h"), F.lit(None).cast("long").alias("nx"))
-    state = nodes.join(salts, "node", "left").select(
-        "node", F.when(start, zero).alias("c"),
-        F.coalesce("salts", F.lit(1)).alias("salts"), start.alias("upd"))
-    state = partitioned_checkpoint(state.repartition(n, "node"))
-    while True:
-        # several rounds are chained into one materialised job; convergence is
-        # read from the last of them (a round without improvements is final)
-        new = state
-        for _ in range(rounds_per_job):
-            new = _relax(new, e)
-        obs = Observation(f"sp-round-{uuid.uuid4().hex}")
-        state = partitioned_checkpoint(
-            new.observe(obs, F.coalesce(F.sum(F.col("upd").cast("long")), F.lit(0)).alias("changed")))
-        if obs.get["changed"] == 0:
-            break
-    return in_session(state.where(F.col("c").isNotNull()).select("node", "c"), spark)
-
-
-def assemble_paths(dist: DataFrame) -> DataFrame:
+    kept = _Rounds(own, state_dir, target) if state_dir else None
+    row = kept.last() if kept else None
+    if row is not None:
+        e = kept.load("edges", "dst", "salt")
+        base, deltas = kept.load(row["base"], "node"), [kept.load(d, "node") for d in row["deltas"]]
+        waiting = kept.load(row["waiting"], "node")
+        k, base_rows, delta_rows, nearest, open_ = (row[c] for c in ("round", "base_rows", "delta_rows", "nearest", "open"))
+        names = (row["base"], list(row["deltas"]))
+    else:
+        e, salts = prepare_edges(edges, salt_edges)
+        own = e.sparkSession
+        # the base holds every node from the start (unreached: c = NULL)
+        nodes = e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
+        # the target starts at 0 only if some edge ends there
+        start = (F.col("node") == F.lit(target)) & F.col("salts").isNotNull()
+        zero = F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("h"), F.lit(None).cast("long").alias("nx"))
+        seen = Observation(f"sp-base-{uuid.uuid4().hex}")
+        base = nodes.join(salts, "node", "left").select("node", F.when(start, zero).alias("c"), F.coalesce("salts", F.lit(1)).alias("salts"))
+        base = partitioned_checkpoint(base.repartition(n, "node").observe(seen, F.count(F.lit(1)).alias("rows")))
+        deltas, waiting = [], base.where(F.col("c").isNotNull())
+        k, base_rows, delta_rows, nearest, open_ = 0, seen.get["rows"], 0, 0.0, 1
+        names = ("base-000000", [])
+        if kept:
+            kept.session = own
+            kept.save("edges", e)
+            kept.save("base-000000", base)
+            kept.commit(round=0, base=names[0], deltas=[], waiting=kept.save("waiting-000000", waiting),
+                        base_rows=base_rows, delta_rows=0, nearest=0.0, open=1)
+    counts = [F.count(F.lit(1)).alias("rows"), F.min("c.d").alias("nearest")]
+    while open_:
+        k += 1
+        bound = math.inf if bucket is None else (math.floor(nearest / bucket) + 1) * bucket
+        near, far = (waiting, None) if bucket is None else (waiting.where(F.col("c.d") < bound), waiting.where(F.col("c.d") >= bound))
+        seen = Observation(f"sp-round-{uuid.uuid4().hex}")
+        delta = partitioned_checkpoint(_relax(base, deltas, near, e).observe(seen, *counts))
+        improved, nearest = seen.get["rows"], seen.get["nearest"]
+        open_, waiting = improved, delta
+        if far is not None:     # what waits and was not improved again, and the improved nodes
+            seen = Observation(f"sp-waiting-{uuid.uuid4().hex}")
+            rest = far.join(delta.select("node"), "node", "left_anti")
+            waiting = partitioned_checkpoint(rest.unionByName(delta).observe(seen, *counts))
+            open_, nearest = seen.get["rows"], seen.get["nearest"]
+        if improved:
+            deltas, delta_rows = [*deltas, delta], delta_rows + improved
+            names[1].append(f"delta-{k:06d}")
+            if kept:
+                kept.save(names[1][-1], delta)
+            if 2 * delta_rows > base_rows:
+                base, deltas, delta_rows = partitioned_checkpoint(_latest(base, deltas)), [], 0
+                names = (f"base-{k:06d}", [])
+                if kept:
+                    kept.save(names[0], base)
+            elif len(deltas) > DELTAS:
+                merged = deltas[0]
+                for d in deltas[1:]:
+                    merged = merged.unionByName(d)
+                # a node's values only ever fall, so the least is the latest
+                merged = merged.groupBy("node", "salts").agg(F.min("c").alias("c")).select("node", "c", "salts")
+                deltas = [partitioned_checkpoint(merged.repartition(n, "node"))]
+                names = (names[0], [f"deltas-{k:06d}"])
+                if kept:
+                    kept.save(names[1][0], deltas[0])
+        if kept:
+            at = names[1][-1] if bucket is None and names[1] and names[1][-1] == f"delta-{k:06d}" else kept.save(f"waiting-{k:06d}", waiting)
+            kept.commit(round=k, base=names[0], deltas=names[1], waiting=at, base_rows=base_rows, delta_rows=delta_rows,
+                        nearest=float(nearest or 0.0), open=open_)
+    return in_session(_latest(base, deltas).where(F.col("c").isNotNull()).select("node", "c"), spark)
+
+
+# Referrers of a path's end that one task takes; an end with more is replicated.
+SALT_REFERRERS = 1 << 16
+
+
+def assemble_paths(dist: DataFrame, salt_referrers: int = SALT_REFERRERS) -> DataFrame:
     """``node, path ARRAY<LONG>`` (node ... target) by pointer jumping over ``c.nx``.
 
     A node's segment ends before ``end``.  Each step appends the segment of ``end``
-    to the open rows; rows that have reached the target are set aside and only
-    joined to.  Many rows may wait for the same end, which is one row of the
-    other side; AQE splits such a key.
+    to the open rows.  Finished rows are laid out by node once; a step reads those
+    that some open row waits for where they lie, and shuffles only these.  An end
+    with many referrers is replicated, one copy for each salt of its referrers.
     """
-    max_h = dist.agg(F.max("c.h")).first()[0] or 0
-    p = dist.select("node", F.array("node").alias("seg"), F.col("c.nx").alias("end"))
-    done, open_ = p.where("end IS NULL"), p.where("end IS NOT NULL")
+    spark = dist.sparkSession
+    own = static_session(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = in_session(dist, own)
+    max_h = rows.agg(F.max("c.h")).first()[0] or 0
+    p = rows.select("node", F.array("node").alias("seg"), F.col("c.nx").alias("end"))
+    layout = lambda df: partitioned_checkpoint(df.where("end IS NULL").repartition(n, "node"))
+    done, open_ = [layout(p)], p.where("end IS NOT NULL")
     for _ in range(math.ceil(math.log2(max_h + 1)) if max_h > 0 else 0):
-        a, b = open_.alias("a"), done.unionByName(open_).alias("b")
-        new = _checkpoint(a.join(b, F.col("a.end") == F.col("b.node")).select(
-            F.col("a.node").alias("node"), F.concat("a.seg", "b.seg").alias("seg"), F.col("b.end").alias("end")))
-        done, open_ = done.unionByName(new.where("end IS NULL")), new.where("end IS NOT NULL")
-    return done.select("node", F.col("seg").alias("path"))
+        refs = _checkpoint(open_.groupBy(F.col("end").alias("ref")).agg(F.count(F.lit(1)).alias("n")))
+        total = refs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        # at most HOT_KEYS ends have more referrers than this
+        limit = max(salt_referrers, -(-total // HOT_KEYS))
+        refs = refs.select("ref", F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("salts"))
+        hot = F.broadcast(refs.where("salts > 1").select(F.col("ref").alias("end"), F.col("salts").alias("of")))
+        a = open_.join(hot, "end", "left").select("node", "seg", "end", F.pmod(F.xxhash64("node"), F.coalesce("of", F.lit(1))).cast("int").alias("salt"))
+        wanted = None
+        for t in [*done, open_]:
+            w = t.join(refs.hint("shuffle_hash"), F.col("node") == F.col("ref")).select(
+                "ref", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("at"), F.col("seg").alias("more"), F.col("end").alias("next"))
+            wanted = w if wanted is None else wanted.unionByName(w)
+        new = _checkpoint(a.join(wanted, (F.col("end") == F.col("ref")) & (F.col("salt") == F.col("at"))).select(
+            "node", F.concat("seg", "more").alias("seg"), F.col("next").alias("end")))
+        done.append(layout(new))
+        open_ = new.where("end IS NOT NULL")
+    out = done[0]
+    for t in done[1:]:
+        out = out.unionByName(t)
+    return in_session(out.select("node", F.col("seg").alias("path")), spark)
 
 
 def shortest_paths_to(edges: DataFrame, target: int, with_path: bool = True,
-                      salt_edges: int = SALT_EDGES, rounds_per_job: int = 2) -> DataFrame:
+                      salt_edges: int = SALT_EDGES, bucket: float | None = None,
+                      state_dir: str | None = None) -> DataFrame:
     """Shortest path from every node to ``target``.
 
     ``edges(src, dst, dist)`` with ``dist >= 0`` (a negative, NaN or NULL weight and
     a NULL end raise).  Output ``node LONG, dist DOUBLE, hops INT[, path ARRAY<LONG>]``;
     nodes that cannot reach the target have no row, and the target has a row
     only if it is the end of some edge.  Among equally short paths the one
-    with fewer hops, then the smaller next node, is taken.
+    with fewer hops, then the smaller next node, is taken.  ``bucket`` and ``state_dir``
+    as in :func:`shortest_distances`.
     """
-    d = shortest_distances(edges, target, salt_edges, rounds_per_job)
+    d = shortest_distances(edges, target, salt_edges, bucket, state_dir)
     out = d.select("node", F.col("c.d").alias("dist"), F.col("c.h").alias("hops"))
     if not with_path:
         return out

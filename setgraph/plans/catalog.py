@@ -6,6 +6,7 @@ and types match the DuckDB statements in :mod:`setgraph.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from ..functions.paths import path_string
 from ..operators import edges as edge_ops
 from ..operators import paths as path_ops
 from ..operators import setsim, text
-from ..session import configure, reliable_checkpoint
+from ..session import checkpoint_dir, configure, reliable_checkpoint
 from ..sources import readers, sinks
 from ..sources.tables import order_edges, table, text_sets
 
@@ -111,6 +112,64 @@ def sets_from_lines(spark, sf):
     return sets.select("rid", F.explode("tokens").alias("token"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder on the shared storage of the checkpoints."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def word_count_files(spark, sf):
+    # the documents written as text files, read as lines
+    folder = _folder(spark, "lines")
+    table(spark, sf, "documents").where(F.col("text").isNotNull()).select(F.col("text").cast("string").alias("value")).write.text(folder)
+    return text.word_count(readers.read_lines(spark, folder), "value")
+
+
+def word_count_sorted(spark, sf):
+    folder = _folder(spark, "counts")
+    sinks.write_kv(text.word_count(table(spark, sf, "documents"), "text"), folder, "term", "n")
+    return sinks.read_kv(spark, folder, "term").withColumnRenamed("value", "line")
+
+
+def path_lines_sorted(spark, sf):
+    folder = _folder(spark, "paths")
+    sinks.write_paths(path_ops.shortest_paths_to(_edges(spark, sf), TARGET), folder)
+    return sinks.read_paths(spark, folder).withColumnRenamed("value", "line")
+
+
+def pair_lines_sorted(spark, sf):
+    folder = _folder(spark, "pairs")
+    sinks.write_pairs(setsim.set_similarity_join(_bench_sets(spark, sf), T_LOW), folder)
+    return sinks.read_pairs(spark, folder).withColumnRenamed("value", "line")
+
+
+def edge_rejects(spark, sf):
+    # line items as edge lines, some cut short and some with a field that is no number
+    folder, li = _folder(spark, "edges"), table(spark, sf, "lineitem")
+    src = F.when(F.col("l_orderkey") % 97 == 0, F.lit("none")).otherwise(F.col("l_partkey").cast("string"))
+    dist = F.when(F.col("l_partkey") % 89 == 0, F.lit("far")).otherwise(F.col("l_quantity").cast("string"))
+    head = F.concat_ws(" ", F.col("l_orderkey").cast("string"), src, F.col("l_suppkey").cast("string"))
+    value = F.when(F.col("l_suppkey") % 83 == 0, head).otherwise(F.concat_ws(" ", head, dist))
+    li.select(value.alias("value")).write.text(folder)
+    good, rejects, _ = readers.read_edges_checked(spark, folder)
+    good = good.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("good").alias("reason"), F.concat_ws(" ", "src", "dst").alias("line"), "n")
+    return good.unionByName(rejects.groupBy("reason", F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def set_rejects(spark, sf):
+    # the customers' order keys as set lines, some blank, some with tokens that are no numbers
+    folder = _folder(spark, "sets")
+    orders = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_set("o_orderkey")).alias("k"))
+    rid = F.when(F.col("o_custkey") % 31 == 0, F.concat(F.lit("c"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
+    tail = F.when(F.col("o_custkey") % 29 == 0, F.lit(" x")).otherwise(F.lit(" "))
+    value = F.concat(rid, F.lit(" "), F.array_join(F.transform("k", lambda x: x.cast("string")), " "), tail)
+    value = F.when(F.col("o_custkey") % 37 == 0, F.lit("  ")).otherwise(value)
+    orders.select(value.alias("value")).write.text(folder)
+    sets, rejects, _ = readers.read_sets_checked(spark, folder)
+    good = sets.select(F.lit("good").alias("reason"), F.col("rid").cast("string").alias("line"), F.size("tokens").cast("long").alias("n"))
+    return good.unionByName(rejects.groupBy("reason", F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n")))
+
+
 def incoming_edge_avg(spark, sf):
     return edge_ops.incoming_edge_avg(_edges(spark, sf))
 
@@ -213,5 +272,11 @@ QUERIES: dict[str, Query] = {
     "path_lines": path_lines,
     "edges_from_lines": edges_from_lines,
     "sets_from_lines": sets_from_lines,
+    "word_count_files": word_count_files,
+    "word_count_sorted": word_count_sorted,
+    "path_lines_sorted": path_lines_sorted,
+    "pair_lines_sorted": pair_lines_sorted,
+    "edge_rejects": edge_rejects,
+    "set_rejects": set_rejects,
 }
 QUERIES = {name: _configured(q) for name, q in QUERIES.items()}

@@ -139,6 +139,36 @@ ORACLE_SQL: dict[str, str] = {
     "sets_from_lines": """
     SELECT DISTINCT o_custkey AS rid, o_orderkey AS token FROM orders""",
 
+    "word_count_files": f"""
+    SELECT term, CAST(count(*) AS BIGINT) AS n
+    FROM (SELECT unnest({_terms('text')}) AS term FROM documents) GROUP BY term""",
+    "word_count_sorted": f"""
+    SELECT row_number() OVER (ORDER BY term) - 1 AS line_no, term || chr(9) || CAST(count(*) AS VARCHAR) AS line
+    FROM (SELECT unnest({_terms('text')}) AS term FROM documents) GROUP BY term""",
+    "path_lines_sorted": f"""
+    SELECT row_number() OVER (ORDER BY node) - 1 AS line_no,
+           CAST(node AS VARCHAR) || chr(9) || CAST(dist AS VARCHAR) || chr(9) || path AS line FROM ({_shortest(True)})""",
+    "pair_lines_sorted": f"""
+    SELECT row_number() OVER (ORDER BY id1, id2) - 1 AS line_no,
+           '(' || CAST(id1 AS VARCHAR) || ',' || CAST(id2 AS VARCHAR) || ')' || chr(9) || CAST(sim AS VARCHAR) AS line
+    FROM ({_jaccard('benchmark', 'item_id', T_LOW)})""",
+    "edge_rejects": """
+    WITH f AS (SELECT CASE WHEN l_orderkey % 97 = 0 THEN 'none' ELSE CAST(l_partkey AS VARCHAR) END AS src,
+                      CASE WHEN l_partkey % 89 = 0 THEN 'far' ELSE CAST(l_quantity AS VARCHAR) END AS dist, * FROM lineitem),
+    l AS (SELECT CASE WHEN l_suppkey % 83 = 0 THEN 'fields' WHEN src = 'none' THEN 'src' WHEN dist = 'far' THEN 'dist' ELSE 'good' END AS reason,
+                 CASE WHEN l_suppkey % 83 = 0 THEN '' ELSE ' ' || dist END AS tail, * FROM f)
+    SELECT reason, CASE WHEN reason = 'good' THEN src || ' ' || CAST(l_suppkey AS VARCHAR)
+                   ELSE CAST(l_orderkey AS VARCHAR) || ' ' || src || ' ' || CAST(l_suppkey AS VARCHAR) || tail END AS line, count(*) AS n
+    FROM l GROUP BY 1, 2""",
+    "set_rejects": """
+    WITH c AS (SELECT o_custkey AS c, count(DISTINCT o_orderkey) AS n,
+                      array_to_string(list_sort(list(DISTINCT o_orderkey)), ' ') AS ks FROM orders GROUP BY 1),
+    l AS (SELECT CASE WHEN c % 37 = 0 THEN 'blank' WHEN c % 31 = 0 THEN 'rid' WHEN c % 29 = 0 THEN 'tokens' ELSE 'good' END AS reason, * FROM c)
+    SELECT reason, CASE reason WHEN 'good' THEN CAST(c AS VARCHAR) WHEN 'blank' THEN '  '
+                   ELSE CASE WHEN reason = 'rid' THEN 'c' ELSE '' END || CAST(c AS VARCHAR) || ' ' || ks
+                        || CASE WHEN c % 29 = 0 THEN ' x' ELSE ' ' END END AS line,
+           CAST(CASE WHEN reason = 'good' THEN min(n) ELSE count(*) END AS BIGINT) AS n FROM l GROUP BY reason, 2""",
+
     "incoming_edge_avg": f"""
     SELECT dst AS node, avg(dist) AS avg_dist FROM {_edges()} GROUP BY dst""",
 

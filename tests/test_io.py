@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from setgraph.operators import set_similarity_join, shortest_paths_to, word_count
-from setgraph.sources import (parse_edges, parse_sets, read_edges, read_sets, write_kv, write_pairs,
+from setgraph.sources import (parse_edges, parse_sets, read_edges, read_edges_checked, read_kv, read_paths, read_sets,
+                              read_sets_checked, write_kv, write_pairs,
                               write_paths)
 
 
@@ -101,3 +102,58 @@ def test_bad_rows_fail_without_ansi(spark):
             parse_edges(lines).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_rejects_have_file_place_and_reason(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("0 1 2 3.5\n1 x 2 3\n2 1 2\n3 4 5 6\n")
+    (tmp_path / "b.txt").write_text("4 1 y z\n\n5 7 8 nine\n")
+    good, rejects, counts = read_edges_checked(spark, str(tmp_path))
+    assert sorted((r["src"], r["dst"], r["dist"]) for r in good.collect()) == [(1, 2, 3.5), (4, 5, 6.0)]
+    assert sorted(tuple(r) for r in rejects.collect()) == [
+        ("a.txt", 2, "src", "1 x 2 3"), ("a.txt", 3, "fields", "2 1 2"), ("b.txt", 1, "dst", "4 1 y z"),
+        ("b.txt", 2, "fields", ""), ("b.txt", 3, "dist", "5 7 8 nine")]
+    assert counts == {"lines": 7, "rejects": 5}
+
+
+def test_places_count_over_the_blocks_of_a_file(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("".join("  \n" if i % 50 == 7 else f"{i} 1 two\n" if i % 50 == 9 else f"{i} {i + 1} 5 \n" for i in range(1000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        good, rejects, counts = read_sets_checked(spark, str(tmp_path))
+        got = {(r["line_no"], r["reason"]) for r in rejects.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {(i + 1, "blank") for i in range(7, 1000, 50)} | {(i + 1, "tokens") for i in range(9, 1000, 50)}
+    assert counts == {"lines": 1000, "rejects": 40} and good.count() == 960
+
+
+def test_sorted_folder_is_read_back_in_order(spark, tmp_path):
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000 - 2500).alias("node"), F.lit(1.5).alias("dist"), F.array("id").alias("path")).repartition(5)
+    write_paths(df, str(tmp_path / "p"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")     # parts are read in several blocks
+    try:
+        got = read_paths(spark, str(tmp_path / "p")).orderBy("line_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    assert [r["line_no"] for r in got] == list(range(5000))
+    assert [int(r["value"].split("\t")[0]) for r in got] == list(range(-2500, 2500))
+    write_kv(df.limit(0).select(F.lit("a").alias("k"), "node"), str(tmp_path / "none"), "k", "node")
+    assert read_kv(spark, str(tmp_path / "none"), "k").count() == 0
+
+
+@pytest.mark.parametrize("fault", ["swap", "cut", "lost"])
+def test_a_folder_that_is_not_as_written_is_told(spark, tmp_path, fault):
+    write_kv(spark.range(0, 400).select("id", F.lit(1).alias("n")).repartition(3), str(tmp_path / "p"), "id", "n")
+    parts = sorted(p for p in (tmp_path / "p").iterdir() if p.name.startswith("part-") and p.stat().st_size)
+    lines = parts[0].read_text().splitlines(keepends=True)
+    for crc in (tmp_path / "p").glob(".part-*.crc"):
+        crc.unlink()
+    if fault == "swap":
+        lines[3], lines[4] = lines[4], lines[3]
+    if fault == "lost":
+        parts[-1].unlink()
+    else:
+        parts[0].write_text("".join(lines[:-1] if fault == "cut" else lines))
+    with pytest.raises(ValueError, match="not as the manifest"):
+        read_kv(spark, str(tmp_path / "p"), "id", "long")

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from setgraph.operators import shortest_paths_to
+from setgraph.operators import paths, shortest_paths_to
+from setgraph.session import in_session
 from setgraph.sources import order_edges
 
 from .brute import shortest_to
@@ -107,3 +108,61 @@ def test_star_and_chain(spark):
     chain = spark.createDataFrame([(i, i + 1, i, 2.0) for i in range(20)], SCHEMA)
     got = _result(shortest_paths_to(chain, 0))
     assert len(got) == 21 and got[20] == (40.0, "->".join(map(str, range(20, -1, -1))), 20)
+
+
+@pytest.fixture(scope="module")
+def parts(spark):
+    return order_edges(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")).checkpoint()
+
+
+def test_distance_buckets_and_merged_deltas_give_the_same_rows(spark, parts, monkeypatch):
+    want = _result(shortest_paths_to(parts, 1))
+    assert _result(shortest_paths_to(parts, 1, bucket=3.0)) == want
+    monkeypatch.setattr(paths, "DELTAS", 0)     # every delta merged to one
+    assert _result(shortest_paths_to(parts, 1)) == want
+
+
+def test_a_new_driver_goes_on_after_the_last_round(spark, parts, tmp_path, monkeypatch):
+    for bucket in (None, 4.0):
+        want, folder = _result(shortest_paths_to(parts, 1, bucket=bucket)), str(tmp_path / f"rounds-{bucket}")
+        relax, calls = paths._relax, []
+
+        def lost(*args):
+            calls.append(1)
+            if len(calls) > 2:
+                raise RuntimeError("driver lost")
+            return relax(*args)
+
+        monkeypatch.setattr(paths, "_relax", lost)
+        with pytest.raises(RuntimeError):
+            shortest_paths_to(parts, 1, bucket=bucket, state_dir=folder)
+        monkeypatch.setattr(paths, "_relax", relax)
+        monkeypatch.setattr(paths, "prepare_edges", None)      # nothing is prepared again
+        other = in_session(parts, spark.newSession())
+        assert _result(shortest_paths_to(other, 1, bucket=bucket, state_dir=folder)) == want
+        assert _result(shortest_paths_to(other, 1, bucket=bucket, state_dir=folder)) == want   # of a finished run
+        with pytest.raises(ValueError, match="target"):
+            shortest_paths_to(other, 2, state_dir=folder)
+        monkeypatch.undo()
+
+
+def test_rounds_write_what_they_improve(spark, tmp_path):
+    # a chain: every round improves one node of 10
+    chain = spark.createDataFrame([(i, i + 1, i, 1.0) for i in range(9)], SCHEMA)
+    folder = tmp_path / "rounds"
+    assert shortest_paths_to(chain, 0, with_path=False, state_dir=str(folder)).count() == 10
+    sizes = {p.name: spark.read.parquet(str(p)).count() for p in folder.iterdir() if p.name.startswith("delta-")}
+    assert len(sizes) == 9 and set(sizes.values()) == {1}
+    # the base is written anew when half of it has changed, not every round
+    assert len([p for p in folder.iterdir() if p.name.startswith("base-")]) <= 3
+
+
+def test_chain_and_star(spark):
+    n = 300
+    # all of a star wait for one end, far from the target
+    e = [(i, i + 1, i, 1.0) for i in range(6)] + [(10 + i, 100 + i, 6, 2.0) for i in range(n)]
+    df = spark.createDataFrame(e, SCHEMA)
+    d = paths.shortest_distances(df, 0)
+    want = {r["node"]: r["path"] for r in paths.assemble_paths(d).collect()}
+    assert want[100] == [100, 6, 5, 4, 3, 2, 1, 0] and len(want) == n + 7
+    assert {r["node"]: r["path"] for r in paths.assemble_paths(d, salt_referrers=7).collect()} == want

@@ -35,21 +35,45 @@ def test_no_round_robin_before_the_edge_window(spark):
     assert "RoundRobin" not in _plan(order_edges(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")))
 
 
-def test_reverse_adjacency_collects_by_cut(spark):
-    p = _plan(QUERIES["reverse_adjacency"](spark, SF_SMALL))
-    assert "hashpartitioning(dst" in p and re.search(r"Exchange hashpartitioning\(dst#\d+L?, cut#\d+L?", p)
+def test_lists_are_shuffled_once(spark):
+    # above the collect there is no exchange by the key alone, and none of the lists
+    from setgraph.operators import reverse_adjacency
+    e = order_edges(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    pairs = text.cooccurrence(spark.read.parquet(f"{SF_SMALL}/benchmark.parquet"), "text", context="row")
+    for df, entries in ((reverse_adjacency(e), "in_edges"), (text.stripes_from_pairs(pairs), "stripe")):
+        p = _plan(df)
+        assert re.search(r"Exchange hashpartitioning\(_key#\d+L?, _null#\d+, _cut#\d+L?", p)
+        above = p[:p.index("collect_list(")] if "collect_list(" in p else p
+        assert not re.search(r"Exchange[^\n]*\n[^\n]*" + entries, above)
+        for line in p.split("\n"):
+            if "Exchange hashpartitioning(_key" in line and "_cut" not in line:
+                at = p.index(line)
+                assert "collect_list" not in p[at:at + 400]
+
+
+def test_hot_keys_are_looked_up_by_broadcast(spark):
+    from setgraph.operators.ranking import split_lookup
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("token"), "id")
+    table = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).withColumn("rank", F.monotonically_increasing_id()).checkpoint()
+    got = split_lookup(rows, table, "token", "n", hot_keys=8)
+    assert sorted(r["id"] for r in got.collect()) == list(range(5000))
+    assert all(r["rank"] is not None for r in got.collect())
+    # only the hot key is below the bound, and its rows meet it without a shuffle
+    shuffled = got.where(F.col("token") != "hot").count()
+    assert shuffled == 1667 or shuffled == 1666
+    assert "BroadcastExchange" in _plan(got)
 
 
 def test_relaxation_round_moves_only_frontier_and_candidates(spark):
     e = order_edges(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
     pe, salts = paths.prepare_edges(e)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = salts.select("node", F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("h"),
-                                          F.lit(None).cast("long").alias("nx")).alias("c"),
-                         "salts", F.lit(True).alias("upd"))
-    state = partitioned_checkpoint(state.repartition(n, "node"))
-    p = _plan(paths._relax(state, pe))
-    # one exchange for the frontier, one for the candidates; edges and state stay put
+    base = salts.select("node", F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("h"),
+                                         F.lit(None).cast("long").alias("nx")).alias("c"), "salts")
+    base = partitioned_checkpoint(base.repartition(n, "node"))
+    delta = partitioned_checkpoint(paths._relax(base, [], base, pe))
+    p = _plan(paths._relax(base, [delta], delta, pe))
+    # one exchange for the frontier, one for the candidates; edges, base and deltas stay put
     assert p.count("Exchange hashpartitioning") == 2
     assert "ShuffledHashJoin" in p and "SortMergeJoin" not in p
 

@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from setgraph.functions import tokenize
-from setgraph.operators import (cooccurrence, cooccurrence_stripes, flatten_stripes, terms,
-                                word_count)
+from setgraph.operators import (cooccurrence, cooccurrence_stripes, flatten_stripes, merge_stripes, stripes_from_pairs,
+                                terms, word_count)
 
 from .brute import lines, tokenize as py_tokenize
 from .conftest import rows
@@ -127,3 +129,29 @@ def test_stripe_rows_are_bounded(spark):
     own = sorted((r["part"], r["keys"]) for r in rows_ if r["term1"] == "x")
     assert [p for p, _ in own] == list(range(len(own))) and [t for _, ts in own for t in ts] == [f"w{i:03d}" for i in range(50)]
     assert rows(flatten_stripes(cooccurrence_stripes(df, row_limit=7))) == rows(cooccurrence(df))
+
+
+@pytest.mark.parametrize("limit", [1, 3, 1000])
+def test_merged_stripes_are_those_of_the_whole(spark, limit):
+    r = random.Random(limit)
+    texts = [" ".join(r.choice("a b c d e f g h i j k l".split()) for _ in range(r.randrange(9))) for _ in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "id long, text string")
+    halves = [cooccurrence_stripes(df.where(c), row_limit=limit).checkpoint() for c in (F.col("id") < 13, F.col("id") >= 13)]
+    got = merge_stripes(*halves, row_limit=limit).checkpoint()
+    assert rows(flatten_stripes(got), "term1", "term2", "n") == rows(flatten_stripes(cooccurrence_stripes(df)), "term1", "term2", "n")
+    by = {}
+    for x in sorted(got.collect(), key=lambda x: (x["term1"], x["part"])):
+        by.setdefault(x["term1"], []).append(list(x["stripe"]))
+        assert x["part"] == len(by[x["term1"]]) - 1
+    for parts in by.values():       # all rows but the last are full, and keys ascend over the rows
+        assert all(len(p) == limit for p in parts[:-1]) and 1 <= len(parts[-1]) <= limit
+        assert sum(parts, []) == sorted(sum(parts, []))
+    # merged stripes can be merged again, also with none
+    none = got.limit(0)
+    assert rows(flatten_stripes(merge_stripes(got, none, row_limit=limit)), "term1", "term2", "n") == rows(flatten_stripes(got), "term1", "term2", "n")
+
+
+def test_a_null_first_term_has_its_own_rows(spark):
+    pairs = spark.createDataFrame([(None, "a", 1), ("", "a", 2), (None, "b", 3), ("x", "a", 4)], "term1 string, term2 string, n long")
+    got = {(r["term1"], r["part"]): r["stripe"] for r in stripes_from_pairs(pairs, row_limit=9).collect()}
+    assert got == {(None, 0): {"a": 1, "b": 3}, ("", 0): {"a": 2}, ("x", 0): {"a": 4}}
