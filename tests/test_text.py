@@ -140,8 +140,8 @@ def test_merged_stripes_are_those_of_the_whole(spark, limit):
     got = merge_stripes(*halves, row_limit=limit).checkpoint()
     assert rows(flatten_stripes(got), "term1", "term2", "n") == rows(flatten_stripes(cooccurrence_stripes(df)), "term1", "term2", "n")
     by = {}
-    for x in sorted(got.collect(), key=lambda x: (x["term1"], x["part"])):
-        by.setdefault(x["term1"], []).append(list(x["stripe"]))
+    for x in sorted(got.select("term1", "part", F.map_keys("stripe").alias("keys")).collect(), key=lambda x: (x["term1"], x["part"])):
+        by.setdefault(x["term1"], []).append(x["keys"])
         assert x["part"] == len(by[x["term1"]]) - 1
     for parts in by.values():       # all rows but the last are full, and keys ascend over the rows
         assert all(len(p) == limit for p in parts[:-1]) and 1 <= len(parts[-1]) <= limit
