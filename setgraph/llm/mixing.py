@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
-from ..operators.ranking import dense_index
+from ..operators.ranking import dense_index, split_lookup
 from .common import materialise
 
 WEIGHTS = (5, 2, 1)    # of the sources in code point order, repeating
@@ -47,7 +47,7 @@ EPS = 1e-9             # a probability so near to 0 or 1 is that
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``place, source, source_size, target DOUBLE`` of ``sizes (source, source_size)``.
+    """``sizes (source, source_size, ...)`` with ``place`` and ``target DOUBLE``.
 
     The targets share the sum of all sizes by weight; one beyond ``most`` times its
     source's size stops there, and its excess is shared by weight among the others,
@@ -55,7 +55,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     """
     keyed = dense_index(sizes.withColumn("_null", F.col("source").isNull()), "_null", "source", name="place")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
-    table = materialise(keyed.select("place", "source", "source_size", weight.cast("long").alias("weight"),
+    table = materialise(keyed.select(*sizes.columns, "place", weight.cast("long").alias("weight"),
                                      (F.col("source_size") * most).alias("cap")))
     total = table.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first()["n"]
     # the words a unit of weight gets; it grows as more sources stop at their caps
@@ -68,7 +68,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
         share, open_weight = total - (row["c"] or 0), row["w"]
         level = share / open_weight
     wanted = F.col("weight") * F.lit(float(share)) / F.lit(float(max(1, open_weight)))
-    return table.select("place", "source", "source_size", F.least(wanted, F.col("cap").cast("double")).alias("target"))
+    return table.select(*sizes.columns, "place", F.least(wanted, F.col("cap").cast("double")).alias("target"))
 
 
 class Flight:
@@ -178,9 +178,9 @@ def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _level(rows: DataFrame, level: int, part: int) -> DataFrame:
     """One flight over ``place, doc_id, size, copy, p``; sources of one part land."""
-    parts = rows.groupBy("place").agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).cast("int").alias("parts"))
+    parts = materialise(rows.groupBy("place").agg(F.count(F.lit(1)).alias("rows"))).withColumn("parts", F.ceil(F.col("rows") / F.lit(part)).cast("int"))
     key = F.xxhash64(F.lit(level), F.lit(SEED), "doc_id", "size", "copy")
-    cut = rows.join(parts, "place").withColumn("part", F.pmod(key, F.col("parts")).cast("long"))
+    cut = split_lookup(rows, parts, "place", "rows").withColumn("part", F.pmod(key, F.col("parts")).cast("long"))
     words = cut.groupBy("place", "part").agg(F.sum("size").alias("words"))
     flown = cut.join(words, ["place", "part"]).select(
         "place", "part", (F.col("parts") == 1).alias("last"), "words", "p", "size",
@@ -230,14 +230,16 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        word_number(F.col("text").cast("string")).alias("size"))
     rows = materialise(rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
-    sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("documents"))
     targets = source_targets(sizes, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    targets = targets.select("place", F.col("source").alias("_source"), "source_size", "target", rate.alias("rate"),
-                             F.floor(rate).cast("long").alias("whole"))
-    placed = rows.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-    units = _numbered(placed.select("place", "doc_id", "size", (F.col("rate") - F.col("whole")).alias("p"), "n"))
-    sampled = sample_balanced(units.select("place", "doc_id", "size", "copy", "p"), part)
-    out = sampled.join(targets, "place")
+    # NULL by a key of its own, so that the joins are plain ones; a source may hold a third of all rows
+    name = F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))
+    targets = materialise(targets.select("place", name.alias("name"), "source", "documents", "source_size", "target", rate.alias("rate"),
+                                         F.floor(rate).cast("long").alias("whole")))
+    odds = targets.select("name", "documents", "place", (F.col("rate") - F.col("whole")).alias("p"))
+    placed = split_lookup(rows.withColumn("name", name), odds, "name", "documents")
+    units = materialise(_numbered(placed.select("place", "doc_id", "size", "p", "n")).select("place", "doc_id", "size", "copy", "p"))
+    out = split_lookup(sample_balanced(units, part), targets, "place", "documents")
     copies = F.col("whole") + F.col("p").cast("long")
-    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), F.col("_source").alias("source"), copies.alias("copies"))
+    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("copies"))
