@@ -71,7 +71,7 @@ def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataF
 
 
 # Most deltas of the state; beyond, they are merged to one.
-DELTAS = 8
+DELTAS = 3
 
 
 def _candidates(frontier: DataFrame, e: DataFrame) -> DataFrame:
