@@ -122,28 +122,27 @@ def test_distance_buckets_and_merged_deltas_give_the_same_rows(spark, parts, mon
     assert _result(shortest_paths_to(parts, 1)) == want
 
 
-def test_a_new_driver_goes_on_after_the_last_round(spark, parts, tmp_path, monkeypatch):
-    for bucket in (None, 4.0):
-        want, folder = _result(shortest_paths_to(parts, 1, bucket=bucket)), str(tmp_path / f"rounds-{bucket}")
-        relax, calls = paths._relax, []
-
-        def lost(*args):
-            calls.append(1)
-            if len(calls) > 2:
-                raise RuntimeError("driver lost")
-            return relax(*args)
-
-        monkeypatch.setattr(paths, "_relax", lost)
-        with pytest.raises(RuntimeError):
-            shortest_paths_to(parts, 1, bucket=bucket, state_dir=folder)
-        monkeypatch.setattr(paths, "_relax", relax)
-        monkeypatch.setattr(paths, "prepare_edges", None)      # nothing is prepared again
-        other = in_session(parts, spark.newSession())
-        assert _result(shortest_paths_to(other, 1, bucket=bucket, state_dir=folder)) == want
-        assert _result(shortest_paths_to(other, 1, bucket=bucket, state_dir=folder)) == want   # of a finished run
-        with pytest.raises(ValueError, match="target"):
-            shortest_paths_to(other, 2, state_dir=folder)
-        monkeypatch.undo()
+@pytest.mark.parametrize("bucket", [None, 2.0])
+def test_a_new_driver_goes_on_after_the_last_round(spark, tmp_path, monkeypatch, bucket):
+    edges = spark.createDataFrame([(i, i + 1, i, 1.0) for i in range(5)] + [(9, 5, 0, 4.5), (10, 7, 5, 0.0)], SCHEMA)
+    want = {i: (float(i), "->".join(map(str, range(i, -1, -1))), i) for i in range(5)} | {5: (4.5, "5->0", 1), 7: (4.5, "7->5->0", 2)}
+    folder, relax, calls = str(tmp_path / "rounds"), paths._relax, []
+
+    def lost(*args):
+        calls.append(1)
+        if len(calls) > 2:
+            raise RuntimeError("driver lost")
+        return relax(*args)
+
+    monkeypatch.setattr(paths, "_relax", lost)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        shortest_paths_to(edges, 0, bucket=bucket, state_dir=folder)
+    monkeypatch.setattr(paths, "_relax", relax)
+    monkeypatch.setattr(paths, "prepare_edges", None)      # nothing is prepared again
+    other = in_session(edges, spark.newSession())
+    assert _result(shortest_paths_to(other, 0, bucket=bucket, state_dir=folder)) == want
+    with pytest.raises(ValueError, match="target"):
+        shortest_paths_to(other, 2, state_dir=folder)
 
 
 def test_rounds_write_what_they_improve(spark, tmp_path):
