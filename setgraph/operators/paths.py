@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from ..session import in_session, partitioned_checkpoint, static_session
 from ..session import reliable_checkpoint as _checkpoint
-from .ranking import HOT_KEYS
 
 # In-edges per salt bucket of a node.  A hub with d in-edges is split into
 # ceil(d / SALT_EDGES) buckets, each joined by its own task; its frontier row
@@ -227,50 +226,26 @@ def shortest_distances(edges: DataFrame, target: int, salt_edges: int = SALT_EDG
             at = names[1][-1] if bucket is None and names[1] and names[1][-1] == f"delta-{k:06d}" else kept.save(f"waiting-{k:06d}", waiting)
             kept.commit(round=k, base=names[0], deltas=names[1], waiting=at, base_rows=base_rows, delta_rows=delta_rows,
                         nearest=float(nearest or 0.0), open=open_)
-    return in_session(_latest(base, deltas).where(F.col("c").isNotNull()).select("node", "c"), spark)
+    return in_session(partitioned_checkpoint(_latest(base, deltas).where(F.col("c").isNotNull()).select("node", "c")), spark)
 
 
-# Referrers of a path's end that one task takes; an end with more is replicated.
-SALT_REFERRERS = 1 << 16
-
-
-def assemble_paths(dist: DataFrame, salt_referrers: int = SALT_REFERRERS) -> DataFrame:
+def assemble_paths(dist: DataFrame) -> DataFrame:
     """``node, path ARRAY<LONG>`` (node ... target) by pointer jumping over ``c.nx``.
 
     A node's segment ends before ``end``.  Each step appends the segment of ``end``
-    to the open rows.  Finished rows are laid out by node once; a step reads those
-    that some open row waits for where they lie, and shuffles only these.  An end
-    with many referrers is replicated, one copy for each salt of its referrers.
+    to the open rows; rows that have reached the target are set aside and only
+    joined to.  Many rows may wait for the same end, which is one row of the
+    other side; AQE splits such a key.
     """
-    spark = dist.sparkSession
-    own = static_session(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = in_session(dist, own)
-    max_h = rows.agg(F.max("c.h")).first()[0] or 0
-    p = rows.select("node", F.array("node").alias("seg"), F.col("c.nx").alias("end"))
-    layout = lambda df: partitioned_checkpoint(df.where("end IS NULL").repartition(n, "node"))
-    done, open_ = [layout(p)], p.where("end IS NOT NULL")
+    max_h = dist.agg(F.max("c.h")).first()[0] or 0
+    p = dist.select("node", F.array("node").alias("seg"), F.col("c.nx").alias("end"))
+    done, open_ = p.where("end IS NULL"), p.where("end IS NOT NULL")
     for _ in range(math.ceil(math.log2(max_h + 1)) if max_h > 0 else 0):
-        refs = _checkpoint(open_.groupBy(F.col("end").alias("ref")).agg(F.count(F.lit(1)).alias("n")))
-        total = refs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-        # at most HOT_KEYS ends have more referrers than this
-        limit = max(salt_referrers, -(-total // HOT_KEYS))
-        refs = refs.select("ref", F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("salts"))
-        hot = F.broadcast(refs.where("salts > 1").select(F.col("ref").alias("end"), F.col("salts").alias("of")))
-        a = open_.join(hot, "end", "left").select("node", "seg", "end", F.pmod(F.xxhash64("node"), F.coalesce("of", F.lit(1))).cast("int").alias("salt"))
-        wanted = None
-        for t in [*done, open_]:
-            w = t.join(refs.hint("shuffle_hash"), F.col("node") == F.col("ref")).select(
-                "ref", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("at"), F.col("seg").alias("more"), F.col("end").alias("next"))
-            wanted = w if wanted is None else wanted.unionByName(w)
-        new = _checkpoint(a.join(wanted, (F.col("end") == F.col("ref")) & (F.col("salt") == F.col("at"))).select(
-            "node", F.concat("seg", "more").alias("seg"), F.col("next").alias("end")))
-        done.append(layout(new))
-        open_ = new.where("end IS NOT NULL")
-    out = done[0]
-    for t in done[1:]:
-        out = out.unionByName(t)
-    return in_session(out.select("node", F.col("seg").alias("path")), spark)
+        a, b = open_.alias("a"), done.unionByName(open_).alias("b")
+        new = _checkpoint(a.join(b, F.col("a.end") == F.col("b.node")).select(
+            F.col("a.node").alias("node"), F.concat("a.seg", "b.seg").alias("seg"), F.col("b.end").alias("end")))
+        done, open_ = done.unionByName(new.where("end IS NULL")), new.where("end IS NOT NULL")
+    return done.select("node", F.col("seg").alias("path"))
 
 
 def shortest_paths_to(edges: DataFrame, target: int, with_path: bool = True,
