@@ -1,9 +1,8 @@
 """Secret scans: fixed patterns, and an assignment-aware lexer with scores by name.
 
 The fixed patterns (``assign``, ``access``, ``hex``) give the base spans.  The
-lexer reads the assignments of source and configuration syntax (``name = x``,
-``name: x``, ``name := x``, ``"name" => x``, ``<name>x</name>``, ``--name x``) into
-pairs of a target name and an expression of literals and names joined by ``+``.
+lexer (:mod:`setgraph.llm.assignments`) reads the assignments of source and configuration
+syntax into pairs of a target name and the literals and names of its expression.
 Constants are propagated: a name in an expression stands for the literals that
 the text assigned to it before, so that in ``k = "..."; password = k`` the literal
 is scored under the target ``password``.  A literal's score grows with how
@@ -18,13 +17,13 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter
-from dataclasses import dataclass, field
 from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from .assignments import assignments
 from .common import map_arrow, texts
 
 MIN_SCORE = 0.6
@@ -39,7 +38,7 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 # Cheap tests over a batch that tell which texts can match at all.
-_MAYBE = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA", "hex": r"[0-9a-f]{24}", "literal": r"[:=]|</|--"}
+_MAYBE = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA", "hex": r"[0-9a-f]{24}"}
 
 # How sensitive a word of a target name is; words of the second set speak against it.
 _WORDS = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass": 0.8, "secret": 0.9, "apikey": 0.9, "token": 0.8,
@@ -47,24 +46,10 @@ _WORDS = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass":
           "signing": 0.4, "encryption": 0.4, "bearer": 0.7, "salt": 0.4, "webhook": 0.4, "connection": 0.3, "dsn": 0.5}
 _AGAINST = {"id", "name", "url", "uri", "path", "file", "count", "size", "length", "type", "hint", "policy", "public", "field",
             "label", "expiry", "expires", "timeout", "limit", "max", "min"}
-_PLACEHOLDER = re.compile(r"(?i)^(x+|\*+|\.+|-+|null|none|true|false|change.?me|example|your.*|todo|undefined|<.*)$")
-
-# A name, with a sigil or in quotes, and an operator; a quoted key in a subscript; a tag; an
-# option; a name with its type after it ("var name type =").
-_TARGET = re.compile(
-    r"""(?<![\w.\-$])(["']?)\$?([A-Za-z_][\w.\-]*)\1[ \t]*(?::=|=>|=(?![=>])|:(?![:=]))[ \t]*"""
-    r"""|<([A-Za-z_][\w.\-]*)>(?=[^<>\s]+</)|(?<![\w\-])--([A-Za-z][\w\-]*)[ \t=]+"""
-    r"""|(?<=[\[{])[ \t]*(["'])([A-Za-z_][\w.\-]*)\5[ \t]*[\]}][ \t]*(?::=|=(?![=>~]))[ \t]*"""
-    r"""|(?<![\w.\-$])(?:var|const)[ \t]+([A-Za-z_]\w*+)(?=[ \t]+[A-Za-z_*][\w.]*+[ \t]*=(?![=>]))[ \t]*""", re.A)
-# A type between a name and the literal that it gets.
-_TYPE = re.compile(
-    r"""&?(?:'\w++[ \t]+)?[A-Za-z_*][\w.]*+(?:\[[^\]\n=]{0,80}\]|<[^>\n=]{0,80}>)?[?!]?"""
-    r"""(?:[ \t]*\|[ \t]*[A-Za-z_][\w.]*+){0,8}[ \t]*=(?![=>])[ \t]*""", re.A)
-_TYPES = {"str", "string", "bytes", "text", "char", "any", "object", "none", "null", "undefined"}
-_TERM = re.compile(
-    r"""(?P<q>["'])(?P<quoted>(?:(?!(?P=q))[^\\\n]|\\.)*)(?P=q)|\$\{(?P<braced>\w+)\}|\$(?P<var>\w+)|(?P<bare>[^\s"'`,;(){}\[\]<>+]+(?:\+[^\s"'`,;(){}\[\]<>+]+)*)""",
-    re.A)
-_PLUS = re.compile(r"[ \t]*\+[ \t]*")
+# No literal reaches a score without such a word in its text.
+_MAYBE["literal"] = "(?i)" + "|".join(_WORDS)
+_PLACEHOLDER = re.compile(r"(?i)^(x+|\*+|\.+|-+|null|none|true|false|change.?me|example|your([\W_].*)?|todo|undefined|<.*>?)$")
+
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -77,17 +62,21 @@ def base_spans(text: str, kinds: set[str]) -> list[tuple[int, int, str]]:
     return out
 
 
-def name_score(name: str) -> float:
-    """How sensitive a target name is, 0 to 1, from its snake, dash or camel case words."""
+def name_score(name: str, around: float = 0.0) -> float:
+    """How sensitive a target name is, 0 to 1, from its snake, dash or camel case words;
+    the score of the key around it counts four fifths."""
     words = [w.lower() for w in _PARTS.findall(name)]
     if words and words[-1] in _AGAINST:
         return 0.0
-    return min(1.0, sum(_WORDS.get(w, 0.0) for w in set(words)))
+    return min(1.0, max(sum(_WORDS.get(w, 0.0) for w in set(words)), 0.8 * around))
 
 
 def literal_score(value: str) -> float:
-    """How much a literal looks like a secret, 0 to 1: bits per character and classes."""
-    if len(value) < MIN_LITERAL or _PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    """How much a literal looks like a secret, 0 to 1: bits per character and classes.  A
+    phrase of words counts unless it speaks of a secret, as the text of a prompt does."""
+    if len(value) < MIN_LITERAL or _PLACEHOLDER.match(value):
+        return 0.0
+    if any(c.isspace() for c in value) and any(_WORDS.get(w.lower(), 0.0) >= 0.8 for w in _PARTS.findall(value)):
         return 0.0
     n = len(value)
     bits = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
@@ -95,46 +84,13 @@ def literal_score(value: str) -> float:
     return min(1.0, bits / 4.0) * 0.7 + min(classes, 3) / 3.0 * 0.3
 
 
-@dataclass
-class Assignment:
-    """A target, the spans of its literals and the earlier assignments it refers to."""
-
-    name: str
-    literals: list[tuple[int, int]] = field(default_factory=list)
-    refers: list[int] = field(default_factory=list)
-
-
-def assignments(text: str) -> list[Assignment]:
-    """The assignments in the order of the text.  A name in an expression refers to
-    the last assignment to it before.  In "name: type = literal" the literal is the
-    name's and, as it may be a label before an assignment, the type word's too."""
-    known: dict[str, int] = {}
-    out: list[Assignment] = []
-    for m in _TARGET.finditer(text):
-        own, at = Assignment(m[2] or m[3] or m[4] or m[6] or m[7]), m.end()
-        if (m[2] or m[7]) and (typed := _TYPE.match(text, at)) and (m[7] or text[m.start():at].rstrip()[-1] == ":"):
-            at = typed.end()
-        while term := _TERM.match(text, at):
-            ref = term["braced"] or term["var"] or (term["bare"] if term["bare"] in known else None)
-            if ref is None:
-                own.literals.append(term.span("quoted" if term["q"] else "bare"))
-            elif ref in known:
-                own.refers.append(known[ref])
-            more = _PLUS.match(text, term.end())
-            if not more:
-                break
-            at = more.end()
-        if own.name.lower() not in _TYPES:
-            known[own.name] = len(out)
-        out.append(own)
-    return out
-
-
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of literals whose score under the most sensitive target that they reach
     is MIN_SCORE or more."""
     found = assignments(text)
-    names = [name_score(a.name) for a in found]
+    names: list[float] = []
+    for a in found:
+        names.append(name_score(a.name, 0.0 if a.around is None else names[a.around]))
     reached: dict[tuple[int, int], float] = {}
     for i in range(len(found) - 1, -1, -1):  # references go back, so later targets come first
         for k in found[i].refers:
