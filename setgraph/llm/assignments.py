@@ -264,7 +264,7 @@ class _Reader:
                         k = top.targets[-1]
                         self.parents.append((self.indent_of(line), k))
                     elif text[here:here + 1] != "#" or token != ":":
-                        here, at = at, self.value(at)
+                        at = self.value(at)
                         token = token if at == here else "value"
                 last, start = token, False
             else:
@@ -278,7 +278,8 @@ class _Reader:
                         continue
                     if top.place is not None and token == "," and last in ("string", "value", "name", "]", ")", "}"):
                         top.place += 1
-                        here, at = at, self.value(at)
+                        here = _BLANKS.match(text, at).end()
+                        at = self.value(at)
                         last = "value" if at > here else ","
                         continue
                     elif token == "," and top.names and not top.targets and last in ("name", "string"):
@@ -326,6 +327,9 @@ class _Reader:
                 elif token == "&" or token == "*":
                     continue
                 last, start = token, False
+        while self.stack:
+            self.end_targets()
+            self.stack.pop()
         return self.out
 
     in_tag, tag = False, ""
