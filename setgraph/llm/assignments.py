@@ -135,6 +135,15 @@ class _Reader:
                 if self.known[name] != k:
                     self.out[k].refers.append(self.known[name])
 
+    def named(self, name: str) -> None:
+        """``name`` may be a target: one more of a list after a comma, else the only one."""
+        top = self.stack[-1]
+        if top.comma and name:
+            top.names.append(name)
+        else:
+            top.names = [name] if name else []
+        top.comma = False
+
     def value(self, at: int) -> int:
         """Reads what begins right after an operator if it is a bare value; the place after it."""
         at = _BLANKS.match(self.text, at).end()
@@ -199,7 +208,8 @@ class _Reader:
                         self.end_targets()
                     else:
                         self.literal(a, b)
-                    top.names, top.words, top.comma = ([*top.names, name] if top.comma and name else [name] if name else []), [], False
+                    self.named(name)
+                    top.words = []
                     if first and name and text.startswith(",", _BLANKS.match(text, at).end()):
                         last, start = "argument", False
                         continue
@@ -225,8 +235,7 @@ class _Reader:
                     self.end_targets()
                 self.refer(name)
                 top.words = [*top.words[-2:], name] if last in ("name", "command") else [name]
-                top.names = [*top.names, name] if top.comma and top.names else [name]
-                top.comma = False
+                self.named(name)
                 nxt = _BLANKS.match(text, at).end()
                 follows = text[nxt:nxt + 1]
                 if token.startswith("--") and follows not in ("", "\n", "=") and nxt > at and follows != "-":
