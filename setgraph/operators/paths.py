@@ -31,7 +31,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import in_session, partitioned_checkpoint, static_session
+from ..session import checkpoint_dir, in_session, partitioned_checkpoint, static_session
 from ..session import reliable_checkpoint as _checkpoint
 
 # In-edges per salt bucket of a node.  A hub with d in-edges is split into
@@ -56,13 +56,17 @@ def prepare_edges(edges: DataFrame, salt_edges: int = SALT_EDGES) -> tuple[DataF
         F.when(bad, F.raise_error(F.lit("edge weights must be non-negative numbers")))
         .otherwise(w.cast("double")).alias("w"))
     e = _checkpoint(e.groupBy("src", "dst").agg(F.min("w").alias("w")))
-    salts = e.groupBy(F.col("dst").alias("node")).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(salt_edges)).cast("int").alias("salts"))
-    e = e.join(salts.withColumnRenamed("node", "dst"), "dst")
-    e = e.withColumn("salt", F.pmod(F.xxhash64("src"), F.col("salts")).cast("int"))
-    # skewed joins above run adaptively; the result is then laid out once by
-    # (dst, salt) so that every round joins it without shuffling it
-    e = _checkpoint(e.select("dst", "salt", "src", "w", "salts"))
+    # only hubs are salted: the join's small side has one row per hub, not per node
+    hubs = _checkpoint(e.groupBy("dst").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_edges)).cast("int").alias("_salts")).where("_salts > 1"))
+    if hubs.isEmpty():
+        e = e.withColumn("salts", F.lit(1))
+    else:
+        e = e.join(hubs, "dst", "left").withColumn("salts", F.coalesce("_salts", F.lit(1)))
+    e = e.withColumn("salt", F.pmod(F.xxhash64("src"), F.col("salts")).cast("int")).select("dst", "salt", "src", "w", "salts")
+    if not hubs.isEmpty():
+        # the skewed join runs adaptively
+        e = _checkpoint(e)
+    # laid out once by (dst, salt) so that every round joins it without shuffling it
     own = static_session(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = partitioned_checkpoint(in_session(e, own).repartition(n, "dst", "salt"))
@@ -110,6 +114,19 @@ def _relax(base: DataFrame, deltas: list[DataFrame], frontier: DataFrame, e: Dat
     return better.select("node", F.col("nc").alias("c"), "salts")
 
 
+def _from_files(df: DataFrame, folder: str, *keys: str) -> DataFrame:
+    """``df`` written to ``folder`` (overwritten) and read again, laid out by ``keys`` if there are any.
+
+    The planner takes a join for as large as the product of its sides, and a checkpoint
+    keeps that estimate.  Tables that are joined with one another round after round would
+    get estimates whose digits double with the rounds, until the driver has no time or memory
+    for them; what is read from files has the files' size."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.mode("overwrite").parquet(folder)
+    out = df.sparkSession.read.parquet(folder)
+    return partitioned_checkpoint(out.repartition(n, *keys)) if keys else out
+
+
 class _Rounds:
     """Tables of a run in a shared folder: what a round made, and a manifest row that is
     written after it.  Tables without a manifest row are those of a driver that was
@@ -161,6 +178,7 @@ def shortest_distances(edges: DataFrame, target: int, salt_edges: int = SALT_EDG
     own = static_session(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = _Rounds(own, state_dir, target) if state_dir else None
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/paths-{uuid.uuid4().hex}"
     row = kept.last() if kept else None
     if row is not None:
         e = kept.load("edges", "dst", "salt")
@@ -208,7 +226,8 @@ def shortest_distances(edges: DataFrame, target: int, salt_edges: int = SALT_EDG
             if kept:
                 kept.save(names[1][-1], delta)
             if 2 * delta_rows > base_rows:
-                base, deltas, delta_rows = partitioned_checkpoint(_latest(base, deltas)), [], 0
+                base, deltas, delta_rows = _from_files(_latest(base, deltas), f"{folder}/base", "node"), [], 0
+                waiting = _from_files(waiting, f"{folder}/waiting")
                 names = (f"base-{k:06d}", [])
                 if kept:
                     kept.save(names[0], base)
@@ -218,7 +237,8 @@ def shortest_distances(edges: DataFrame, target: int, salt_edges: int = SALT_EDG
                     merged = merged.unionByName(d)
                 # a node's values only ever fall, so the least is the latest
                 merged = merged.groupBy("node", "salts").agg(F.min("c").alias("c")).select("node", "c", "salts")
-                deltas = [partitioned_checkpoint(merged.repartition(n, "node"))]
+                deltas = [_from_files(merged, f"{folder}/deltas", "node")]
+                waiting = _from_files(waiting, f"{folder}/waiting")
                 names = (names[0], [f"deltas-{k:06d}"])
                 if kept:
                     kept.save(names[1][0], deltas[0])
@@ -226,7 +246,8 @@ def shortest_distances(edges: DataFrame, target: int, salt_edges: int = SALT_EDG
             at = names[1][-1] if bucket is None and names[1] and names[1][-1] == f"delta-{k:06d}" else kept.save(f"waiting-{k:06d}", waiting)
             kept.commit(round=k, base=names[0], deltas=names[1], waiting=at, base_rows=base_rows, delta_rows=delta_rows,
                         nearest=float(nearest or 0.0), open=open_)
-    return in_session(partitioned_checkpoint(_latest(base, deltas).where(F.col("c").isNotNull()).select("node", "c")), spark)
+    _latest(base, deltas).where(F.col("c").isNotNull()).select("node", "c").write.parquet(f"{folder}/dist")
+    return spark.read.parquet(f"{folder}/dist")
 
 
 def assemble_paths(dist: DataFrame) -> DataFrame:

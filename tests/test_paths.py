@@ -164,3 +164,18 @@ def test_chain_and_star(spark):
     d = paths.shortest_distances(df, 0)
     want = {r["node"]: r["path"] for r in paths.assemble_paths(d).collect()}
     assert want[100] == [100, 6, 5, 4, 3, 2, 1, 0] and len(want) == n + 7
+
+
+def test_size_estimates_do_not_grow_with_the_rounds(spark):
+    # a chain of 24 rounds: estimates that multiply in every round had millions of digits
+    chain = spark.createDataFrame([(i, i + 1, i, 1.0) for i in range(24)], SCHEMA)
+    d = paths.shortest_distances(chain, 0)
+    assert d.count() == 25
+    assert len(str(d._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 20
+
+
+def test_hubs_alone_are_salted(spark):
+    star = spark.createDataFrame([(i, i, 0, 1.0) for i in range(1, 40)] + [(50, 7, 3, 1.0)], SCHEMA)
+    e, salts = paths.prepare_edges(star, salt_edges=10)
+    assert rows(salts, "node", "salts") == [(0, 4), (3, 1)]
+    assert {r["salt"] for r in e.where("dst = 0").collect()} == {0, 1, 2, 3} and e.count() == 40
