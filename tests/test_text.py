@@ -1,9 +1,11 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from setgraph.functions import tokenize
+from setgraph.operators import text
 from setgraph.operators import (cooccurrence, cooccurrence_stripes, flatten_stripes, merge_stripes, stripes_from_pairs,
                                 terms, word_count)
 
@@ -155,3 +157,24 @@ def test_a_null_first_term_has_its_own_rows(spark):
     pairs = spark.createDataFrame([(None, "a", 1), ("", "a", 2), (None, "b", 3), ("x", "a", 4)], "term1 string, term2 string, n long")
     got = {(r["term1"], r["part"]): r["stripe"] for r in stripes_from_pairs(pairs, row_limit=9).collect()}
     assert got == {(None, 0): {"a": 1, "b": 3}, ("", 0): {"a": 2}, ("x", 0): {"a": 4}}
+
+
+def test_cells_count_every_pair(spark, monkeypatch):
+    # small cells: more of them than classes of ids; repeats, copies of a line, a long line
+    monkeypatch.setattr(text, "CELL_PAIRS", 50)
+    lines = ["a b a c", "a b a c", " ".join(f"t{i % 37}" for i in range(120)), "z", ""]
+    want = Counter()
+    for line in lines:
+        w = line.split()
+        want.update((w[i], w[j]) for i in range(len(w)) for j in range(i + 1, len(w)))
+    df = spark.createDataFrame([(x,) for x in lines], "text string")
+    got = text.cooccurrence(df)
+    assert {(r["term1"], r["term2"]): r["n"] for r in got.collect()} == want
+
+
+def test_pairs_are_not_shuffled(spark):
+    # what is shuffled are places of contexts by cell; no exchange has pairs
+    df = spark.createDataFrame([("a b c d",)], "text string")
+    p = text.cooccurrence(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(r#" in p
+    assert "Exchange hashpartitioning(term1" not in p and "Exchange hashpartitioning(id1" not in p
