@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, share_package
 
 # Rows of one Arrow batch.  Texts may be very long, so batches are small; the
 # byte bound below cuts them further where Spark knows that setting.
@@ -21,9 +20,6 @@ BATCH_BYTES = 8 * 1024 * 1024
 # Words of one shingle in every operator that compares texts by shingles.
 SHINGLE_WORDS = 5
 
-# The folder that holds the package.
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                      0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -34,10 +30,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     Python workers import this package: its folder is added to their path, which
     serves local sessions and shared installations; a cluster without either
     gets the package by ``--py-files``."""
-    environment = spark.sparkContext.environment
-    path = environment.get("PYTHONPATH", "")
-    if ROOT not in path.split(os.pathsep):
-        environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, path) if p)
+    share_package(spark)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
