@@ -39,6 +39,7 @@ EPOCHS = 4
 SEQUENCE = 40        # words of a training sequence
 STAY = 0.8           # chance that the next run of a training sequence keeps its language
 SEED = 20240501
+PIECE = 1 << 20      # characters of texts that are labelled at once, if not one text has more
 UNKNOWN = "und"
 MIN_SCORE = 0.5      # least mean confidence in a document's words with which the pipeline keeps it
 
@@ -272,9 +273,33 @@ def _labelled(texts_: list[str | None], model: Model) -> tuple[list[list[str]],
     return found, lengths, marginals(model.emissions(list(number))[coded], lengths, model.steps)
 
 
+def _pieces(texts_: list[str | None]) -> list[list[str | None]]:
+    """Runs of texts that have ``PIECE`` characters together, or single texts of more."""
+    out, held = [], 0
+    for text in texts_:
+        size = len(text or "")
+        if not out or held + size > PIECE:
+            out.append([])
+            held = 0
+        out[-1].append(text)
+        held += size
+    return out
+
+
 def _languages(texts_: list[str | None], model: Model) -> tuple[list[str], list[float], list[float]]:
     """Language and score of each text, the largest mean marginal of its words, and the
-    mean of each word's largest marginal, which mixed languages do not lower."""
+    mean of each word's largest marginal, which mixed languages do not lower.
+
+    An Arrow batch may have 8 MB of text, of which the words, their features and marginals
+    take many times as much: it is labelled piece by piece."""
+    names, scores, sure = [], [], []
+    for piece in _pieces(texts_):
+        for whole, part in zip((names, scores, sure), _piece_languages(piece, model)):
+            whole += part
+    return names, scores, sure
+
+
+def _piece_languages(texts_: list[str | None], model: Model) -> tuple[list[str], list[float], list[float]]:
     _, lengths, p = _labelled(texts_, model)
     names, scores, sure = [UNKNOWN] * len(texts_), [0.0] * len(texts_), [0.0] * len(texts_)
     ends = np.cumsum(lengths)

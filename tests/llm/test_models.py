@@ -214,3 +214,15 @@ def test_pipeline(spark):
     for i in copies:
         assert i not in left or any(line.strip() and line not in seen for line in text[i].split("\n"))
     assert plain(corpus_pipeline.run(spark, SF)) == plain(now)
+
+
+def test_languages_are_found_piece_by_piece(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = langid.Model(["a", "b"], {}, rng.normal(size=(langid.BUCKETS, 2)).astype(np.float32), np.zeros((2, 2), np.float32), np.eye(2, dtype=np.float32))
+    texts = ["".join(rng.choice(list("abc "), 40)) for _ in range(30)] + [None, "", "x" * 500, "a b"]
+    whole, sizes, labelled = langid._languages(texts, model), [], langid._labelled
+    monkeypatch.setattr(langid, "PIECE", 100)
+    monkeypatch.setattr(langid, "_labelled", lambda part, m: sizes.append(sum(len(x or "") for x in part)) or labelled(part, m))
+    names, scores, sure = langid._languages(texts, model)
+    assert names == whole[0] and np.allclose(scores, whole[1], atol=1e-5) and np.allclose(sure, whole[2], atol=1e-5)
+    assert len(sizes) > 10 and sorted(sizes)[-2] <= 100 and max(sizes) == 500
