@@ -8,15 +8,14 @@ chunks so that the quadratic pair expansion of one line spreads over tasks.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
 from ..functions.text import split_lines, tokenize
 from ..session import reliable_checkpoint
-from .ranking import cut_lists, dense_index, split_lookup
+from .paircells import count_pairs
+from .ranking import cut_lists
 
 # First-term positions handled per task-level chunk of a long context.  A chunk
 # carries the context from its first position on, so a context of n terms ships
@@ -88,52 +87,8 @@ def _pairs(weighted: DataFrame, chunk: int = CHUNK, col: str = "terms") -> DataF
     return pairs.groupBy("term1", "term2").agg(F.sum("w").alias("n"))
 
 
-# Pairs of a cell, repeats counted, beyond which the cells are made smaller.
-CELL_PAIRS = 1 << 27
-
-
-def _cell_pairs(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``term1, term2, n`` of the strings, from ``(terms ARRAY<LONG>, w)`` contexts over ids below 2^32.
-
-    Ids fall into ``side`` classes, pairs into ``side * side`` cells by the classes of their
-    ids.  A cell gets the places of its two classes in a context, not their pairs, and
-    counts its pairs where they are formed, so what is shuffled follows the contexts.  The
-    vocabulary is dealt to the cells as well, so the counted pairs stay where they are.
-    """
-    parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = F.size("terms").cast("double")
-    total = encoded.agg(F.sum(size * (size - 1) / 2).alias("n")).first()["n"] or 0
-    side = math.ceil(math.sqrt(max(2 * parts, total / CELL_PAIRS)))
-    # a place is one number, in the order of positions: position * 2^32 + id
-    places = F.transform("terms", lambda x, i: i.cast("long") * F.lit(1 << 32) + x)
-    in_class = lambda k: lambda x: F.pmod(x.bitwiseAND(F.lit((1 << 32) - 1)), F.lit(side)) == k
-    classes = F.array(*[F.filter("places", in_class(k)) for k in range(side)])
-    split = encoded.select("w", places.alias("places")).select("w", classes.alias("classes"))
-    firsts = split.select("w", "classes", F.posexplode("classes").alias("r", "a")).where(F.size("a") > 0)
-    cells = firsts.select("w", "r", "a", F.posexplode("classes").alias("c", "b")).where(
-        (F.size("b") > 0) & (F.get("a", F.lit(0)) < F.element_at("b", -1)))
-    cells = cells.repartition(side * side, "r", "c")
-    pairs = cells.select("r", "c", "w", "b", F.explode("a").alias("x")).select("r", "c", "w", "x", F.explode("b").alias("y")).where("x < y")
-    number = lambda place: F.col(place).bitwiseAND(F.lit((1 << 32) - 1))
-    counted = pairs.groupBy("r", "c", number("x").alias("id1"), number("y").alias("id2")).agg(F.sum("w").alias("n"))
-    own, others = F.pmod("id", F.lit(side)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
-    for k, (mine, other) in ((1, ("r", "c")), (2, ("c", "r"))):
-        v = vocab.select(own.alias(mine), F.col("id").alias(f"id{k}"), F.col("term").alias(f"term{k}"), others.alias(other))
-        counted = counted.join(v.repartition(side * side, "r", "c").hint("shuffle_hash"), ["r", "c", f"id{k}"])
-    return counted.select("term1", "term2", "n")
-
-
-def _encode(weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Dictionary-encode contexts: ``(terms ARRAY<LONG>, w)`` per context and
-    the vocabulary ``(term, id)``, ids dense in byte order of the terms."""
-    counts = explode_rows(weighted, "terms", "term").groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
-    counted = reliable_checkpoint(dense_index(counts, "term", name="id"))
-    vocab = counted.select("term", "id")
-    lines = weighted.withColumn("lid", F.monotonically_increasing_id())
-    occ = split_lookup(explode_rows(lines, "terms", "term", "lid", "w", pos="pos"), counted, "term", "rows")
-    enc = occ.groupBy("lid").agg(
-        F.first("w").alias("w"), F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("e"))
-    return enc.select(F.transform("e", lambda x: x["id"]).alias("terms"), "w"), vocab
+# Pairs of a cell and direction, repeats counted, beyond which the cells are made smaller.
+CELL_PAIRS = 1 << 28
 
 
 def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
@@ -143,17 +98,15 @@ def cooccurrence(df: DataFrame, col: str = "text", context: str = "line",
     For every context with terms t_0..t_{k-1}, every position pair i < j adds
     one to (t_i, t_j); repeats are kept, so (a, a) can occur.
 
-    The distinct weighted contexts are materialised once and their pairs
-    counted on integer term ids in cells (strings are joined back once per distinct
-    pair).  ``encode=False`` counts on the strings, without a dictionary, a context's
+    The contexts are packed into compressed blocks of term numbers, which are materialised
+    once, and their pairs counted in cells (:mod:`setgraph.operators.paircells`), which
+    know the terms of their numbers.  ``encode=False`` counts on the strings, without a dictionary, a context's
     first terms in chunks of ``chunk``; it gives the same rows and saves passes over
     the terms where lines are short.
     """
-    weighted = reliable_checkpoint(_weighted_contexts(df, col, context))
     if not encode:
-        return _pairs(weighted, chunk)
-    enc, vocab = _encode(weighted)
-    return _cell_pairs(reliable_checkpoint(enc), vocab)
+        return _pairs(reliable_checkpoint(_weighted_contexts(df, col, context)), chunk)
+    return count_pairs(contexts(df, col, context), CELL_PAIRS)
 
 
 # Most second terms that one stripe row holds.
