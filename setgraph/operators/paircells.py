@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint, share_package
+from ..session import compact_checkpoint, reliable_checkpoint, share_package
 from .cells import MOST_PARTITIONS, _spread
 from .ranking import dense_index
 
@@ -110,7 +110,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block[f.name]], f.type) for f in _BLOCK], schema=_BLOCK)
 
 
-_CELL = pa.schema([("r", pa.int32()), ("c", pa.int32()), ("kind", pa.int32()), ("piece", pa.int64()), ("text", pa.string()),
+_CELL = pa.schema([("r", pa.int32()), ("c", pa.int32()), ("kind", pa.int32()), ("piece", pa.int64()), ("text", pa.string()), ("places", pa.list_(pa.int64())),
                    ("rows", pa.int64()), ("n", pa.int64()), ("sizes", pa.binary()), ("codes", pa.binary()), ("w", pa.binary())])
 
 
@@ -151,7 +151,7 @@ def _dealer(side: int) -> Callable:
                 code = number[at[inside]] if r == c else number[at[inside]] * 2 + second[inside]
                 w = weight[of[starts[ok]]]
                 low = pack(w & 0xFFFFFFFF)
-                values = [[r], [c], [2], [block], [None], [int(ok.sum())], [len(code)], [pack(k[ok])], [pack(code)],
+                values = [[r], [c], [2], [block], [None], [None], [int(ok.sum())], [len(code)], [pack(k[ok])], [pack(code)],
                           [b"" if w.max() == 1 else len(low).to_bytes(8, "little") + low + pack(w >> 32)]]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _CELL)], schema=_CELL)
 
@@ -163,12 +163,14 @@ class _Cell:
 
     def __init__(self):
         self.text = {0: [], 1: []}
+        self.places = {0: [], 1: []}
         self.blocks: list[tuple] = []
 
     def add(self, batch: pa.RecordBatch, row: int) -> None:
         kind, *rest = (batch.column(c)[row].as_py() for c in ("kind", "text", "rows", "n", "sizes", "codes", "w"))
         if kind < 2:
             self.text[kind].append(rest[0])
+            self.places[kind].append(batch.column("places")[row].values)
         else:
             self.blocks.append(tuple(rest[1:]))
 
@@ -297,23 +299,84 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, _Cell]]:
         yield last[0] == last[1], cell
 
 
+def _directions(same: bool, cell: _Cell) -> Iterator[tuple]:
+    """First and second terms, their kinds, and the arrays of :meth:`_Cell.follow`."""
+    terms = [cell.terms(0)]
+    terms.append(terms[0] if same else cell.terms(1))
+    for flip in (False,) if same else (False, True):
+        a, b = (1, 0) if flip else (0, 0 if same else 1)
+        yield terms[a], terms[b], a, b, cell.follow(same, flip)
+
+
+def _lengths(terms: pa.Array) -> np.ndarray:
+    return pc.binary_length(terms).to_numpy(zero_copy_only=False).astype(np.int64) + 16
+
+
 _PAIR = pa.schema([("term1", pa.string()), ("term2", pa.string()), ("n", pa.int64())])
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for same, cell in _cells(batches):
-        terms = [cell.terms(0)]
-        terms.append(terms[0] if same else cell.terms(1))
-        length = [pc.binary_length(t).to_numpy(zero_copy_only=False).astype(np.int64) + 16 for t in terms]
-        for flip in (False,) if same else (False, True):
-            one, two = (terms[1], terms[0]) if flip else terms
-            len1, len2 = (length[1], length[0]) if flip else length
-            for first, second, n in _counted(*cell.follow(same, flip), max(1, len(two))):
+        for one, two, _, _, follow in _directions(same, cell):
+            len1, len2 = _lengths(one), _lengths(two)
+            for first, second, n in _counted(*follow, max(1, len(two))):
                 for s in _runs(len1[first] + len2[second], OUT_BYTES):
                     yield pa.RecordBatch.from_arrays([one.take(pa.array(first[s])).cast(pa.string()), two.take(pa.array(second[s])).cast(pa.string()),
                                                       pa.array(n[s])], schema=_PAIR)
 
 
+_LIST = pa.schema([("term1", pa.string()), ("m", pa.int64()), ("places", pa.list_(pa.int64())), ("keys", pa.string()), ("ns", pa.list_(pa.int64()))])
+
+
+def _joined(terms: pa.ListArray) -> pa.Array:
+    """Lists of terms as texts: an array of short strings takes four times the bytes."""
+    return pc.binary_join(terms, " ")
+
+
+def _count_lists(most: int) -> Callable:
+    """A cell's pairs as lists of second terms in byte order, at most ``most`` in a list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for same, cell in _cells(batches):
+            for one, two, _, kind, follow in _directions(same, cell):
+                place = pa.concat_arrays(cell.places[kind]).to_numpy()
+                order = np.argsort(place, kind="stable")
+                rank = np.empty(len(order), np.uint32)
+                rank[order] = np.arange(len(order))
+                two, place = two.take(pa.array(order)), place[order]
+                len2 = _lengths(two)
+                for first, second, n in _counted(*follow[:-1], rank[follow[-1]], len(two)):
+                    begins = np.flatnonzero(np.diff(first, prepend=-1))
+                    # lists of at most so many entries, in batches of so many bytes
+                    k = np.diff(np.append(begins, len(first)))
+                    cuts = -(-k // most)
+                    begins = np.repeat(begins, cuts) + _spread(np.zeros(len(cuts), np.int64), cuts) * most
+                    ends = np.append(begins, len(first))
+                    for s in _runs(np.add.reduceat(len2[second], begins), OUT_BYTES):
+                        a, b = ends[s.start], ends[s.stop]
+                        offsets = pa.array((ends[s.start:s.stop + 1] - a).astype(np.int32))
+                        lists = lambda x: pa.ListArray.from_arrays(offsets, x)
+                        yield pa.RecordBatch.from_arrays([
+                            one.take(pa.array(first[begins[s]])).cast(pa.string()), pa.array(np.diff(ends[s.start:s.stop + 1])), lists(pa.array(place[second[a:b]])),
+                            _joined(lists(two.take(pa.array(second[a:b])).cast(pa.string()))), lists(pa.array(n[a:b]))], schema=_LIST)
+
+    return run
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists cut before the places of ``cuts``: ``term1, part, keys, ns``."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            places, ns, cuts = (batch.column(c)[row].values for c in ("places", "ns", "cuts"))
+            keys = pc.split_pattern(batch.column("keys").slice(row, 1), " ").flatten()
+            part = np.searchsorted(cuts.to_numpy(), places.to_numpy(), side="right")
+            begins = np.flatnonzero(np.diff(part, prepend=-1))
+            offsets = pa.array(np.append(begins, len(part)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([batch.column("term1")[row].as_py()] * len(begins), pa.string()), pa.array(part[begins].astype(np.int64)),
+                _joined(pa.ListArray.from_arrays(offsets, keys)), pa.ListArray.from_arrays(offsets, ns)], names=["term1", "part", "keys", "ns"])
+
+
 def pack_contexts(contexts: DataFrame) -> DataFrame:
     """Blocks of ``contexts (terms ARRAY<STRING>)``, written once."""
     share_package(contexts.sparkSession)
@@ -337,12 +400,14 @@ def _sides(blocks: DataFrame, cell_pairs: int) -> int:
 
 
 def cells_of(blocks: DataFrame, vocab: DataFrame, cell_pairs: int) -> DataFrame:
-    """The rows of the cells, dealt to tasks: pieces of the vocabulary, then contexts by block."""
+    """The rows of the cells, dealt to tasks: pieces of the vocabulary, with ``place`` if it
+    has that, then contexts by block."""
+    place = F.col("place") if "place" in vocab.columns else F.lit(None).cast("long")
     side = _sides(blocks, cell_pairs)
     # where a context stands first, and how often it stands anywhere
     line = blocks.select("block", F.posexplode(F.arrays_zip("h1", "h2", "w")).alias("place", "e"))
-    place = F.shiftleft("block", _PLACE_BITS).bitwiseOR(F.col("place").cast("long"))
-    kept = line.groupBy("e.h1", "e.h2").agg(F.min(place).alias("at"), F.sum("e.w").alias("w"))
+    at = F.shiftleft("block", _PLACE_BITS).bitwiseOR(F.col("place").cast("long"))
+    kept = line.groupBy("e.h1", "e.h2").agg(F.min(at).alias("at"), F.sum("e.w").alias("w"))
     kept = kept.groupBy(F.shiftright("at", _PLACE_BITS).alias("block")).agg(
         F.collect_list(F.struct(F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("place"), "w")).alias("kept"))
     numbers = blocks.select("block", F.posexplode("terms").alias("pos", "term")).join(vocab, "term").groupBy("block").agg(
@@ -350,14 +415,14 @@ def cells_of(blocks: DataFrame, vocab: DataFrame, cell_pairs: int) -> DataFrame:
     rows = blocks.select("block", "n", F.size("h1").cast("long").alias("rows"), "sizes", "codes").join(numbers, "block").join(kept, "block").select(
         "block", "n", "rows", "sizes", "codes", F.transform("ids", lambda x: x["id"]).alias("ids"),
         F.transform("kept", lambda x: x["place"]).alias("places"), F.transform("kept", lambda x: x["w"]).alias("weights"))
-    dealt = rows.mapInArrow(_dealer(side), "r int, c int, kind int, piece long, text string, rows long, n long, sizes binary, codes binary, w binary")
+    dealt = rows.mapInArrow(_dealer(side), "r int, c int, kind int, piece long, text string, places array<long>, rows long, n long, sizes binary, codes binary, w binary")
     own, number = F.pmod("id", F.lit(side)).cast("int"), F.floor(F.col("id") / side).cast("long")
-    pieces = vocab.select(own.alias("own"), number.alias("number"), "term").groupBy("own", F.floor(F.col("number") / PIECE).cast("long").alias("piece")).agg(
-        F.sort_array(F.collect_list(F.struct("number", "term"))).alias("e"))
+    pieces = vocab.select(own.alias("own"), number.alias("number"), "term", place.alias("place")).groupBy("own", F.floor(F.col("number") / PIECE).cast("long").alias("piece")).agg(
+        F.sort_array(F.collect_list(F.struct("number", "term", "place"))).alias("e"))
     goes = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda o: F.struct(
         F.least("own", o).alias("r"), F.greatest("own", o).alias("c"), F.when(F.col("own") <= o, 0).otherwise(1).alias("kind")))
-    pieces = pieces.select("piece", F.array_join(F.transform("e", lambda x: x["term"]), " ").alias("text"), F.explode(goes).alias("g")).select(
-        "g.r", "g.c", "g.kind", "piece", "text", *(F.lit(None).cast(t).alias(c) for c, t in (
+    pieces = pieces.select("piece", F.array_join(F.transform("e", lambda x: x["term"]), " ").alias("text"), F.transform("e", lambda x: x["place"]).alias("places"),
+                           F.explode(goes).alias("g")).select("g.r", "g.c", "g.kind", "piece", "text", "places", *(F.lit(None).cast(t).alias(c) for c, t in (
             ("rows", "long"), ("n", "long"), ("sizes", "binary"), ("codes", "binary"), ("w", "binary"))))
     parts = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * side * (side + 1), MOST_PARTITIONS))
     return pieces.unionByName(dealt).repartition(parts, "r", "c").sortWithinPartitions("r", "c", "kind", "piece")
@@ -368,3 +433,37 @@ def count_pairs(contexts: DataFrame, cell_pairs: int) -> DataFrame:
     ``cell_pairs`` pairs of a direction at most, repeats counted."""
     blocks = pack_contexts(contexts)
     return cells_of(blocks, vocabulary(blocks), cell_pairs).mapInArrow(_count_pairs, "term1 string, term2 string, n long")
+
+
+# Entries of the table of cuts up to which it is sent to all tasks.
+BROADCAST_CUTS = 1 << 20
+
+
+def count_stripes(contexts: DataFrame, cell_pairs: int, row_limit: int) -> DataFrame:
+    """``term1, part, stripe MAP<STRING,LONG>``: the pairs by first term, second terms in byte
+    order, ``row_limit`` of them in every row but a term's last.
+
+    A cell gives the lists of its first terms, written once.  Only terms with more than
+    ``row_limit`` second terms are cut, by the places of their second terms: whole
+    numbers that are gathered without the terms.  Then every list is shuffled once.
+    """
+    blocks = pack_contexts(contexts)
+    vocab = vocabulary(blocks)
+    vocab = reliable_checkpoint(dense_index(vocab, "term", name="place"))
+    lists = compact_checkpoint(cells_of(blocks, vocab, cell_pairs).mapInArrow(
+        _count_lists(row_limit), "term1 string, m long, places array<long>, keys string, ns array<long>"))
+    hubs = reliable_checkpoint(lists.groupBy("term1").agg(F.sum("m").alias("degree")).where(F.col("degree") > row_limit))
+    size = hubs.agg(F.sum(F.col("degree") / row_limit).alias("n")).first()["n"] or 0
+    whole = lists.select("term1", F.lit(0).cast("long").alias("part"), "keys", "ns")
+    if size:
+        here = (lambda t: F.broadcast(t)) if size <= BROADCAST_CUTS else (lambda t: t)
+        hubs = hubs.select("term1")
+        places = lists.select("term1", "places").join(here(hubs), "term1").groupBy("term1").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("p"))
+        cuts = reliable_checkpoint(places.select("term1", F.transform(
+            F.sequence(F.lit(row_limit), F.size("p") - 1, F.lit(row_limit)), lambda i: F.get("p", i)).alias("cuts")))
+        cut = lists.join(here(cuts), "term1").select("term1", "places", "keys", "ns", "cuts").mapInArrow(
+            _cut, "term1 string, part long, keys string, ns array<long>")
+        whole = whole.join(here(hubs), "term1", "left_anti").unionByName(cut)
+    rows = whole.groupBy("term1", "part").agg(F.collect_list(F.struct("keys", "ns")).alias("c"))
+    entries = F.flatten(F.transform("c", lambda x: F.arrays_zip(F.split(x["keys"], " ").alias("k"), x["ns"].alias("n"))))
+    return rows.select("term1", "part", F.map_from_entries(F.sort_array(entries)).alias("stripe"))

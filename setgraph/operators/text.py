@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import explode_rows
 from ..functions.text import split_lines, tokenize
 from ..session import reliable_checkpoint
-from .paircells import count_pairs
+from .paircells import count_pairs, count_stripes
 from .ranking import cut_lists
 
 # First-term positions handled per task-level chunk of a long context.  A chunk
@@ -166,7 +166,11 @@ def merge_stripes(stripes: DataFrame, more: DataFrame, row_limit: int = STRIPE_R
 
 def cooccurrence_stripes(df: DataFrame, col: str = "text", context: str = "line",
                          chunk: int = CHUNK, encode: bool = True, row_limit: int = STRIPE_ROW) -> DataFrame:
-    """Stripe form of :func:`cooccurrence`: maps of later terms per first term."""
+    """Stripe form of :func:`cooccurrence`: maps of later terms per first term, in rows of
+    at most ``row_limit``.  The cells of the pairs give them; with ``encode=False``
+    :func:`stripes_from_pairs` does."""
+    if encode:
+        return count_stripes(contexts(df, col, context), CELL_PAIRS, row_limit)
     # written once: the sort of the pairs reads them twice
     return stripes_from_pairs(reliable_checkpoint(cooccurrence(df, col, context, chunk, encode)), row_limit)
 

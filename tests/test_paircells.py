@@ -58,7 +58,7 @@ def test_numpy_cells_count_every_pair(monkeypatch, side, part, firsts):
     got = Counter()
     for (a, c), found in cells.items():
         piece = lambda k: " ".join(t for t, i in number.items() if i % side == k)
-        head = [pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([a, c, kind, 0, piece(k), None, None, None, None, None], paircells._CELL)],
+        head = [pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([a, c, kind, 0, piece(k), [], None, None, None, None, None], paircells._CELL)],
                                            schema=paircells._CELL) for kind, k in ((0, a), (1, c))[:1 if a == c else 2]]
         for out in paircells._count_pairs(iter(head + found)):
             for x in out.to_pylist():
