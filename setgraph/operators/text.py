@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
 from ..functions.text import split_lines, tokenize
-from ..session import reliable_checkpoint
+from ..session import compact_checkpoint, reliable_checkpoint
 from .paircells import count_pairs, count_stripes
 from .ranking import cut_lists
 
@@ -125,10 +125,38 @@ def stripes_from_pairs(pairs: DataFrame, row_limit: int = STRIPE_ROW) -> DataFra
     return lists.select("term1", "part", "stripe")
 
 
+def _packed(stripe: str = "stripe") -> list[Column]:
+    """``keys, ns``: a map's keys as one text, which takes a fourth of an array's bytes, and its values."""
+    safe = F.transform(F.map_keys(stripe), lambda k: F.replace(F.replace(k, F.lit("~"), F.lit("~0")), F.lit(" "), F.lit("~1")))
+    return [F.array_join(safe, " ").alias("keys"), F.map_values(stripe).alias("ns")]
+
+
+def _keys(text: Column | str) -> Column:
+    return F.transform(F.split(_col(text), " "), lambda k: F.replace(F.replace(k, F.lit("~1"), F.lit(" ")), F.lit("~0"), F.lit("~")))
+
+
+def _added(pieces: DataFrame) -> DataFrame:
+    """``term1, range, e``: the entries of the pieces ``(term1, range, keys, ns)`` of a range, counts added, in order."""
+    add = lambda a, b: F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
+    maps = F.transform("c", lambda x: F.map_from_arrays(_keys(x["keys"]), x["ns"]))
+    return pieces.groupBy("term1", "range").agg(F.collect_list(F.struct("keys", "ns")).alias("c")).select(
+        "term1", "range", F.sort_array(F.map_entries(F.aggregate(maps, empty, add))).alias("e"))
+
+
+# Rows of a narrow table up to which it is sent to all tasks.
+BROADCAST_ROWS = 1 << 18
+
+
+def _here(narrow: DataFrame) -> DataFrame:
+    return F.broadcast(narrow) if narrow.count() <= BROADCAST_ROWS else narrow
+
+
 def merge_stripes(stripes: DataFrame, more: DataFrame, row_limit: int = STRIPE_ROW) -> DataFrame:
     """Stripes of two inputs as those of both: ``term1, part, stripe`` with the counts added.
 
-    Nothing goes back to pairs.  The first keys of both tables' rows cut a term's second
+    Nothing goes back to pairs.  Terms with one row in each table are added whole, in one
+    shuffle.  For the others the first keys of both tables' rows cut a term's second
     terms into ranges, of which a row of either table covers some whole ones; so a range
     meets at most one piece of each table, and their maps are added.  The ranges'
     sizes, a narrow table, say which places a range takes among its term's; pieces are
@@ -136,32 +164,43 @@ def merge_stripes(stripes: DataFrame, more: DataFrame, row_limit: int = STRIPE_R
     term's last holds ``row_limit`` second terms.
     """
     tables = [t.select("term1", "part", "stripe") for t in (stripes, more)]
-    starts = tables[0].unionByName(tables[1]).select("term1", F.map_keys("stripe")[0].alias("s")).groupBy("term1").agg(
-        F.sort_array(F.collect_set("s")).alias("starts"))
+    limit, entries = F.lit(row_limit), lambda e: F.map_from_entries(e).alias("stripe")
+    long = reliable_checkpoint(tables[0].unionByName(tables[1]).where(F.col("part") > 0).select("term1").distinct())
+    cut = _here(long)
+    whole = _added(tables[0].unionByName(tables[1]).join(cut, "term1", "left_anti").where(F.size("stripe") > 0).select(
+        "term1", F.lit(0).cast("long").alias("range"), *_packed()))
+    whole = whole.select("term1", "e", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.size("e") - 1) / limit).cast("long"))).alias("part")).select(
+        "term1", "part", entries(F.slice("e", (F.col("part") * limit + 1).cast("int"), limit)))
+    if long.isEmpty():
+        return whole
+
+    tables = [t.join(cut, "term1", "left_semi").where(F.size("stripe") > 0) for t in tables]
+    ends = [reliable_checkpoint(t.select("term1", "part", F.map_keys("stripe")[0].alias("lo"), F.element_at(F.map_keys("stripe"), -1).alias("hi")))
+            for t in tables]    # narrow: a row's first and last key
+    starts = ends[0].unionByName(ends[1]).groupBy("term1").agg(F.sort_array(F.collect_set("lo")).alias("starts"))
     pieces = None
-    for t in tables:
-        # narrow: the ranges that a row covers
-        covers = t.select("term1", "part", F.map_keys("stripe")[0].alias("lo"), F.element_at(F.map_keys("stripe"), -1).alias("hi")).join(starts, "term1")
+    for t, covers in zip(tables, ends):
         before = lambda x: F.size(F.filter("starts", lambda s: s <= F.col(x)))
-        ranges = covers.select("term1", "part", "starts", F.explode(F.sequence(before("lo") - 1, before("hi") - 1)).alias("range")).select(
-            "term1", "part", "range", F.get("starts", F.col("range")).alias("lo"), F.get("starts", F.col("range") + 1).alias("hi"))
-        cut = t.join(ranges, ["term1", "part"]).select("term1", "range", F.map_filter(
-            "stripe", lambda k, v: (k >= F.col("lo")) & (F.col("hi").isNull() | (k < F.col("hi")))).alias("m"))
-        pieces = cut if pieces is None else pieces.unionByName(cut)
-    add = lambda a, b: F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
-    merged = reliable_checkpoint(pieces.groupBy("term1", "range").agg(F.collect_list("m").alias("ms")).select(
-        "term1", "range", F.sort_array(F.map_entries(F.aggregate("ms", empty, add))).alias("e")))
-    sizes = merged.select("term1", "range", F.size("e").alias("size"))
+        ranges = covers.join(starts, "term1").select("term1", "part", "starts", F.explode(F.sequence(before("lo") - 1, before("hi") - 1)).alias("range"))
+        ranges = reliable_checkpoint(ranges.select("term1", "part", F.col("range").cast("long").alias("range"), F.get("starts", F.col("range")).alias("lo"),
+                                                   F.get("starts", F.col("range") + 1).alias("hi")))
+        some = t.join(_here(ranges), ["term1", "part"]).select("term1", "range", F.map_filter(
+            "stripe", lambda k, v: (k >= F.col("lo")) & (F.col("hi").isNull() | (k < F.col("hi")))).alias("m")).where(F.size("m") > 0)
+        some = some.select("term1", "range", *_packed("m"))
+        pieces = some if pieces is None else pieces.unionByName(some)
+    merged = compact_checkpoint(_added(pieces).select("term1", "range", F.size("e").alias("size"), F.map_from_entries("e").alias("m")).select(
+        "term1", "range", "size", *_packed("m")))
     offset = F.sum("size").over(Window.partitionBy("term1").orderBy("range")) - F.col("size")
-    placed = merged.join(sizes.select("term1", "range", offset.cast("long").alias("at")), ["term1", "range"])
-    limit, at = F.lit(row_limit), F.col("at")
-    parts = F.sequence(F.floor(at / limit).cast("long"), F.floor((at + F.size("e") - 1) / limit).cast("long"))
-    chunks = placed.select("term1", "range", "at", "e", F.explode(parts).alias("part")).select("term1", "part", "range", F.slice(
-        "e", (F.greatest(at, F.col("part") * limit) - at + 1).cast("int"),
-        (F.least(at + F.size("e"), (F.col("part") + 1) * limit) - F.greatest(at, F.col("part") * limit)).cast("int")).alias("e"))
-    rows = chunks.groupBy("term1", "part").agg(F.sort_array(F.collect_list(F.struct("range", "e"))).alias("c"))
-    return rows.select("term1", "part", F.map_from_entries(F.flatten(F.transform("c", lambda c: c["e"]))).alias("stripe"))
+    places = reliable_checkpoint(merged.select("term1", "range", "size", offset.cast("long").alias("at")).drop("size"))
+    at, size = F.col("at"), F.size("ns")
+    parts = F.sequence(F.floor(at / limit).cast("long"), F.floor((at + size - 1) / limit).cast("long"))
+    placed = merged.join(_here(places), ["term1", "range"]).select("term1", "range", "at", _keys("keys").alias("k"), "ns", F.explode(parts).alias("part"))
+    first, many = F.greatest(at, F.col("part") * limit), F.least(at + size, (F.col("part") + 1) * limit)
+    chunk = lambda c: F.slice(c, (first - at + 1).cast("int"), (many - first).cast("int"))
+    chunks = placed.select("term1", "part", "range", F.map_from_arrays(chunk("k"), chunk("ns")).alias("m")).select("term1", "part", "range", *_packed("m"))
+    rows = chunks.groupBy("term1", "part").agg(F.sort_array(F.collect_list(F.struct("range", "keys", "ns"))).alias("c"))
+    keys, ns = F.flatten(F.transform("c", lambda c: _keys(c["keys"]))), F.flatten(F.transform("c", lambda c: c["ns"]))
+    return whole.unionByName(rows.select("term1", "part", F.map_from_arrays(keys, ns).alias("stripe")))
 
 
 def cooccurrence_stripes(df: DataFrame, col: str = "text", context: str = "line",

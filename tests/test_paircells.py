@@ -89,3 +89,30 @@ def test_a_term_travels_as_few_bytes(spark):
 def test_copies_in_several_blocks_count_once_each(spark):
     df = spark.createDataFrame([("p q p",)] * 50 + [("q r",)] * 3, "text string").repartition(7)
     assert rows(text.cooccurrence(df)) == [("p", "p", 50), ("p", "q", 50), ("q", "p", 50), ("q", "r", 3)]
+
+
+def test_stripes_of_terms_beyond_the_limit_are_full(spark):
+    # lists of several cells, cut by places: rows but a term's last are full, keys in byte order
+    r = random.Random(8)
+    lines = [" ".join(r.choice([f"k{i}" for i in range(70)] + ["é", "zz"]) for _ in range(r.randrange(2, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in lines], "text string")
+    got = {}
+    for x in text.cooccurrence_stripes(df, row_limit=9).select("term1", "part", F.map_entries("stripe").alias("e")).collect():
+        got.setdefault(x["term1"], {})[x["part"]] = [tuple(e) for e in x["e"]]
+    want = _counts(lines)
+    assert {(a, b): n for a, parts in got.items() for e in parts.values() for b, n in e} == want
+    for parts in got.values():
+        e = [parts[p] for p in range(len(parts))]
+        assert all(len(x) == 9 for x in e[:-1]) and 0 < len(e[-1]) <= 9
+        keys = [k.encode() for x in e for k, _ in x]
+        assert keys == sorted(keys)
+
+
+def test_merged_stripes_keep_any_key(spark):
+    # keys with spaces and tildes, terms with one row and with several
+    one = [("a", 0, {"x y": 1, "~0": 2}), ("h", 0, {"a": 1, "b b": 1}), ("h", 1, {"c": 4}), ("only", 0, {"": 1})]
+    two = [("a", 0, {"x y": 5, "~1": 7}), ("h", 0, {"b b": 3, "d": 1}), ("h", 1, {"~": 9})]
+    a, b = (spark.createDataFrame(t, "term1 string, part long, stripe map<string,long>").checkpoint() for t in (one, two))
+    got = {(r["term1"], r["part"]): r["stripe"] for r in text.merge_stripes(a, b, row_limit=2).collect()}
+    assert got == {("a", 0): {"x y": 6, "~0": 2}, ("a", 1): {"~1": 7}, ("h", 0): {"a": 1, "b b": 4}, ("h", 1): {"c": 4, "d": 1},
+                   ("h", 2): {"~": 9}, ("only", 0): {"": 1}}
